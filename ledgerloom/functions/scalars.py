@@ -55,14 +55,7 @@ def elapsed_micros(start: Column, end: Column) -> Column:
     Works on the difference of the two, so the session time zone cannot shift timestamps that
     have no zone.
     """
-    gap = end - start
-    minutes = (
-        F.extract(F.lit("DAY"), gap).cast("bigint") * 1440
-        + F.extract(F.lit("HOUR"), gap) * 60
-        + F.extract(F.lit("MINUTE"), gap)
-    )
-    seconds = F.extract(F.lit("SECOND"), gap)  # decimal, carries the fraction
-    return minutes * (60 * MICROS) + (seconds * MICROS).cast("bigint")
+    return _micros(end - start)
 
 
 def seconds_crossed(start: Column, end: Column) -> Column:
@@ -83,10 +76,22 @@ def sum_hours(start: Column, end: Column) -> Column:
     Whole seconds and left-over microseconds are summed as two integers and divided once, so
     row order cannot change the result and trillions of rows cannot overflow it.
     """
-    micros = elapsed_micros(start, end)
-    whole = F.sum(F.call_function("div", micros, F.lit(MICROS)))
-    rest = F.sum(micros % MICROS)
-    return (whole + rest / MICROS) / 3600
+    gap = end - start
+    seconds = gap.cast("interval second").cast("bigint")
+    whole = F.sum(seconds)
+    rest = F.sum(gap - seconds * F.expr("INTERVAL '1' SECOND"))
+    return (whole + _micros(rest) / MICROS) / 3600
+
+
+def _micros(gap: Column) -> Column:
+    """A day-time interval as a number of microseconds."""
+    minutes = (
+        F.extract(F.lit("DAY"), gap).cast("bigint") * 1440
+        + F.extract(F.lit("HOUR"), gap) * 60
+        + F.extract(F.lit("MINUTE"), gap)
+    )
+    seconds = F.extract(F.lit("SECOND"), gap)  # decimal, carries the fraction
+    return minutes * (60 * MICROS) + (seconds * MICROS).cast("bigint")
 
 
 def _column(value: int | Column) -> Column:

@@ -30,17 +30,17 @@ def order_lines(raw: Mapping[str, DataFrame]) -> DataFrame:
     """One row per order line with its order, truck, franchisee, menu item, place and member.
 
     Everything that hangs on the order is joined to the order first. The order lines, the
-    largest table, then move once for the order and once for the menu, not once per table.
+    largest table, then move once for the order and once for the menu, not once per table. Each
+    table joins as a plain scan, whose size Spark knows, and not as the result of another join,
+    whose size it would overrate.
     """
     franchisees = raw["franchise"].select(
         F.col("franchise_id").alias("owner_id"),
         F.col("first_name").alias("franchisee_first_name"),
         F.col("last_name").alias("franchisee_last_name"),
     )
-    trucks = (
-        raw["truck"]
-        .select("truck_id", "primary_city", "region", "country", "franchise_flag", "franchise_id")
-        .join(franchisees, F.col("franchise_id") == F.col("owner_id"))
+    trucks = raw["truck"].select(
+        "truck_id", "primary_city", "region", "country", "franchise_flag", "franchise_id"
     )
     places = raw["location"].select("location_id")
     members = raw["customer_loyalty"].select(
@@ -53,11 +53,10 @@ def order_lines(raw: Mapping[str, DataFrame]) -> DataFrame:
         F.col("customer_id").alias("header_customer_id"),
         "order_amount", "order_tax_amount", "order_discount_amount", "order_total",
     )
-    located = headers.join(
-        places, F.col("header_location_id") == F.col("location_id").cast("double")
-    )
     orders = left_join(
-        located.join(trucks, "truck_id"),
+        headers.join(trucks, "truck_id")
+        .join(franchisees, F.col("franchise_id") == F.col("owner_id"))
+        .join(places, F.col("header_location_id") == F.col("location_id").cast("double")),
         members,
         "header_customer_id",
         "customer_id",
