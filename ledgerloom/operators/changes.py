@@ -63,19 +63,21 @@ def delete_commit(
 
 def write_log(log: DataFrame, path: str) -> DataFrame:
     """Store a log at a new path, one folder per commit day."""
-    return tables.write_new(
-        log.withColumn("commit_date", F.to_date("commit_ts")), path, ["commit_date"]
-    )
+    return tables.write_new(_by_day(log), path, ["commit_date"])
 
 
 def append_log(commit: DataFrame, path: str) -> DataFrame:
     """Add the rows of a commit to a stored log and return the log."""
-    dated = commit.withColumn("commit_date", F.to_date("commit_ts"))
     stored = commit.sparkSession.read.parquet(path)
-    dated.select(stored.columns).write.mode("append").partitionBy("commit_date").parquet(path)
+    _by_day(commit).select(stored.columns).write.mode("append").partitionBy("commit_date").parquet(path)
     return commit.sparkSession.read.schema(stored.schema).parquet(path)
 
 
+def _by_day(log: DataFrame) -> DataFrame:
+    """Rows gathered by day, so that a folder gets few files; the rows of a busy day are split."""
+    return log.withColumn("commit_date", F.to_date("commit_ts")).hint("rebalance", "commit_date")
+
+
 def _commit(rows: DataFrame, op: str, commit_ts: Column, commit_id: Column) -> DataFrame:
     return rows.select(
         "*",

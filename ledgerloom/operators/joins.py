@@ -1,9 +1,9 @@
 """Equi-joins.
 
 No join here carries a broadcast hint. Spark broadcasts a side only when its measured size is
-under ``autoBroadcastJoinThreshold``, and otherwise sort-merges; adaptive execution then splits
-the partitions of a hot key. What it cannot split well is left out by these helpers: rows whose
-key is NULL, which would all meet in one partition, and repeated keys where only existence counts.
+under ``autoBroadcastJoinThreshold``, and otherwise shuffles both sides; adaptive execution then
+splits the partitions of a hot key over many tasks. It can do so only between two plain shuffles,
+and only rows whose key is not NULL are worth a shuffle; the helpers see to both.
 """
 
 from __future__ import annotations
@@ -57,6 +57,17 @@ def without_match(
     )
 
 
+def join_totals(totals: DataFrame, rows: DataFrame, on: str) -> DataFrame:
+    """Inner join of per-key totals with rows in which a key may be hot.
+
+    Totals are already partitioned by the key, and Spark would join them where they are. A
+    second join key, always 0, makes it shuffle the few totals once more. Only then can adaptive
+    execution split the other side.
+    """
+    left, right = (side.withColumn("_slot", _zero(on)) for side in (totals, rows))
+    return left.join(right, [on, "_slot"]).drop("_slot")
+
+
 def join_as_double(
     left: DataFrame, right: DataFrame, left_key: str, right_key: str
 ) -> DataFrame:
@@ -70,6 +81,9 @@ def _slots(left_key: str, right_key: str, spread_by: Sequence[str]) -> tuple[Col
     slot = F.when(
         F.col(left_key).isNull(), F.pmod(F.xxhash64(*spread_by), F.lit(NULL_SLOTS))
     ).otherwise(F.lit(0).cast("bigint"))
-    # Always 0, but derived from the key: a constant would be folded out of the join keys.
-    only_slot = F.pmod(F.xxhash64(right_key), F.lit(1))
-    return slot, only_slot
+    return slot, _zero(right_key)
+
+
+def _zero(key: str) -> Column:
+    """Always 0, but derived from the key: a constant would be folded out of the join keys."""
+    return F.pmod(F.xxhash64(key), F.lit(1))

@@ -11,7 +11,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.functions.aggregates import distinct_values
-from ledgerloom.operators.joins import left_join
+from ledgerloom.operators.joins import join_totals, left_join
 
 # The columns of the order line view, in order.
 ORDER_LINE_COLUMNS = """
@@ -99,15 +99,12 @@ def member_metrics(
     distinct places reach its array. Members with several equal rows count their orders as often.
     """
     per_place = orders.groupBy(key, visited).agg(F.sum(value).alias("_part"))
-    per_member = (
-        per_place.filter(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.sum("_part").alias("_total"), distinct_values(F.col(visited)).alias("_visited"))
+    per_member = per_place.groupBy(key).agg(
+        F.sum("_part").alias("total"), distinct_values(F.col(visited)).alias("visited")
     )
-    return (
-        members.join(per_member, key)
-        .groupBy(*members.columns)
-        .agg(F.sum("_total").alias("total"), F.first("_visited").alias("visited"))
+    copies = members.groupBy(*members.columns).agg(F.count("*").alias("_copies"))
+    return join_totals(per_member, copies, key).select(
+        *members.columns, (F.col("total") * F.col("_copies")).alias("total"), "visited"
     )
 
 

@@ -14,7 +14,7 @@ from ledgerloom.functions.ordering import ascending
 from ledgerloom.functions.scalars import concat_blank, sum_hours
 from ledgerloom.operators.joins import without_match
 from ledgerloom.operators.ranking import leaders, sort_down, top_k
-from ledgerloom.operators.rollup import roll_up
+from ledgerloom.operators.rollup import label, roll_up
 
 
 def most_rented_actors(
@@ -22,17 +22,11 @@ def most_rented_actors(
 ) -> DataFrame:
     """The ``k`` actors whose films were rented most; a rental counts for every actor of a film."""
     per_copy = rental.groupBy("inventory_id").agg(F.count("rental_id").alias("total_rentals"))
-    per_film = roll_up(
-        per_copy, inventory.select("inventory_id", "film_id"), "inventory_id",
-        ["film_id"], ["total_rentals"],
-    )
-    per_actor = roll_up(
-        per_film, film_actor.select("actor_id", "film_id"), "film_id",
-        ["actor_id"], ["total_rentals"],
-    )
+    per_film = roll_up(per_copy, inventory, "inventory_id", "film_id", ["total_rentals"])
+    per_actor = roll_up(per_film, film_actor, "film_id", "actor_id", ["total_rentals"])
     name = concat_blank([F.col("first_name"), F.lit(" "), F.col("last_name")])
     named = actor.select("actor_id", name.alias("actor_name"))
-    report = roll_up(per_actor, named, "actor_id", ["actor_id", "actor_name"], ["total_rentals"])
+    report = label(per_actor, named, "actor_id", ["actor_name"], ["total_rentals"])
     return top_k(report, "total_rentals", k, ["actor_id", "actor_name"])
 
 
@@ -46,22 +40,10 @@ def top_spend_category(
 ) -> DataFrame:
     """The category that earned most. Categories are told apart by id, and shown by name."""
     per_rental = payment.groupBy("rental_id").agg(F.sum("amount").alias("total_amount"))
-    per_copy = roll_up(
-        per_rental, rental.select("rental_id", "inventory_id"), "rental_id",
-        ["inventory_id"], ["total_amount"],
-    )
-    per_film = roll_up(
-        per_copy, inventory.select("inventory_id", "film_id"), "inventory_id",
-        ["film_id"], ["total_amount"],
-    )
-    per_category = roll_up(
-        per_film, film_category.select("film_id", "category_id"), "film_id",
-        ["category_id"], ["total_amount"],
-    )
-    report = roll_up(
-        per_category, category.select("category_id", "name"), "category_id",
-        ["category_id", "name"], ["total_amount"],
-    )
+    per_copy = roll_up(per_rental, rental, "rental_id", "inventory_id", ["total_amount"])
+    per_film = roll_up(per_copy, inventory, "inventory_id", "film_id", ["total_amount"])
+    per_category = roll_up(per_film, film_category, "film_id", "category_id", ["total_amount"])
+    report = label(per_category, category, "category_id", ["name"], ["total_amount"])
     return top_k(report, "total_amount", k, ["category_id"]).select(
         F.col("name").alias("category"), "total_amount"
     )
@@ -126,12 +108,8 @@ def customers_by_city(city: DataFrame, address: DataFrame, customer: DataFrame)
         count_where(F.col("active") == 1).alias("active_customers"),
         count_where(F.col("active") == 0).alias("inactive_customers"),
     )
-    per_city = roll_up(
-        per_address, address.select("address_id", "city_id"), "address_id", ["city_id"], counters
-    )
-    report = roll_up(
-        per_city, city.select("city_id", "city"), "city_id", ["city_id", "city"], counters
-    )
+    per_city = roll_up(per_address, address, "address_id", "city_id", counters)
+    report = label(per_city, city, "city_id", ["city"], counters)
     return sort_down(report, "inactive_customers", ["city", "city_id"]).select("city", *counters)
 
 
@@ -151,14 +129,8 @@ def films_per_category(
 ) -> DataFrame:
     """Films per category id, most first."""
     per_film = film.groupBy("film_id").agg(F.count("film_id").alias("film_count"))
-    per_category = roll_up(
-        per_film, film_category.select("film_id", "category_id"), "film_id",
-        ["category_id"], ["film_count"],
-    )
-    report = roll_up(
-        per_category, category.select("category_id", "name"), "category_id",
-        ["category_id", "name"], ["film_count"],
-    )
+    per_category = roll_up(per_film, film_category, "film_id", "category_id", ["film_count"])
+    report = label(per_category, category, "category_id", ["name"], ["film_count"])
     return sort_down(report, "film_count", ["name", "category_id"]).select(
         F.col("name").alias("category"), "film_count"
     )

@@ -91,7 +91,7 @@ def top1_category_spend(spark: SparkSession, folder: str) -> DataFrame:
         .agg(F.sum("total_amount").alias("total_amount"))
     )
     parts = read(spark, folder, "part").select("p_partkey", "p_type")
-    per_type = roll_up(per_part, parts, "p_partkey", ["p_type"], ["total_amount"])
+    per_type = roll_up(per_part, parts, "p_partkey", "p_type", ["total_amount"])
     return ranking.top_k(per_type, "total_amount", 1, ["p_type"]).select(
         F.col("p_type").alias("category"), (F.col("total_amount") / 100).alias("total_amount")
     )
