@@ -51,7 +51,7 @@ class Frames:
         """``ddl`` is read by both engines; ``table`` is a list of tuples."""
         self.frames[name] = self.spark.createDataFrame(table, ddl)
         self.duck.execute(f"CREATE TABLE {name} ({ddl.replace('STRING', 'VARCHAR')})")
-        marks = ", ".join("?" * len(ddl.split(",")))
+        marks = ", ".join("?" * len(self.frames[name].columns))
         if table:
             self.duck.executemany(f"INSERT INTO {name} VALUES ({marks})", table)
 
