@@ -1,0 +1,58 @@
+"""The physical plans of the registered queries."""
+
+import pytest
+
+import __spark_entry__ as contract
+from tests.util import physical_plan
+
+FOLDER = "/root/testdata/sf0.001"
+WRITES = {
+    "csv_load", "csv_load_incremental", "insert_values", "ctas_variant", "clone_append_counts",
+    "clone_asof", "retention_job", "update_log", "delete_log",
+}
+
+
+@pytest.fixture(scope="module")
+def plan(spark):
+    return lambda name: physical_plan(contract.queries()[name](spark, FOLDER))
+
+
+@pytest.mark.parametrize("name", sorted(set(contract.queries()) - WRITES))
+def test_no_python_and_no_pair_join(plan, name):
+    shape = plan(name)
+    assert "Python" not in shape and "CartesianProduct" not in shape
+    assert "NestedLoop" not in shape
+
+
+def test_filters_and_columns_reach_the_scan(plan):
+    shape = plan("filtered_count")
+    assert "EqualTo(p_type,ECONOMY), EqualTo(p_size,11)" in shape
+    assert "ReadSchema: struct<p_type:string,p_size:int>" in shape
+    assert "GreaterThan(p_retailprice,995.0)" in plan("table_fn_above")
+    assert "LessThan(p_retailprice,905.0)" in plan("table_fn_below")
+
+
+def test_orders_are_thinned_before_the_lines_join(plan):
+    shape = plan("rank_category_hours")
+    assert "WindowGroupLimit" in shape
+    # The widest table gives three columns.
+    assert "struct<l_orderkey:bigint,l_partkey:bigint,l_shipdate:timestamp_ntz>" in shape
+
+
+@pytest.mark.parametrize("name", ["top_k_bridge", "top1_category_spend", "limit_sample"])
+def test_top_k_does_not_sort_everything(plan, name):
+    assert "TakeOrderedAndProject" in plan(name)
+
+
+def test_anti_join_is_one(plan):
+    assert "LeftAnti" in plan("anti_join") and "LeftOuter" not in plan("anti_join")
+
+
+@pytest.mark.parametrize("name", ["winsorize", "age_columns", "ts_diff_seconds", "update_rows"])
+def test_row_wise_queries_do_not_shuffle(plan, name):
+    assert "Exchange" not in plan(name)
+
+
+def test_as_of_reduces_before_its_only_shuffle(plan):
+    shape = plan("asof_timestamp")
+    assert shape.count("Exchange") == 1 and "partial_max_by" in shape
