@@ -17,7 +17,10 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128MB",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
-    # Re-planned joins may skip the sort when every partition fits a hash map.
+    # A scan is planned by its file size, but compressed columns grow in memory. What adaptive
+    # execution has measured itself it may broadcast up to a higher bound, or hash without a sort.
+    "spark.sql.sources.fileCompressionFactor": "5.0",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
