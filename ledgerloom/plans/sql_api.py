@@ -45,14 +45,33 @@ FUNCTIONS = [
 ]
 
 
+# The analytics views and what each is for.
+COMMENTS = {
+    "orders_v": "Order lines with their order date",
+    "customer_loyalty_metrics_v": "Sales and places visited per loyalty member",
+}
+
+
+def commented_view(rows: DataFrame, name: str, comment: str) -> None:
+    """A temporary view with a comment, over a lazy DataFrame."""
+    rows.createOrReplaceTempView(f"{name}_rows")
+    escaped = comment.replace("\\", "\\\\").replace("'", "\\'")
+    rows.sparkSession.sql(
+        f"CREATE OR REPLACE TEMPORARY VIEW {name} COMMENT '{escaped}' AS SELECT * FROM {name}_rows"
+    )
+
+
 def register_orders(spark: SparkSession, raw: Mapping[str, DataFrame]) -> None:
-    """Temporary views for the raw tables, ``orders_v`` and ``customer_loyalty_metrics_v``,
-    and the price functions."""
+    """Temporary views for the raw tables and the analytics views, and the price functions."""
     for name, rows in raw.items():
         rows.createOrReplaceTempView(name)
     menu.price_list(raw["menu"]).createOrReplaceTempView("price_list")
-    orders.order_lines_dated(raw).createOrReplaceTempView("orders_v")
-    orders.loyalty_metrics(raw).createOrReplaceTempView("customer_loyalty_metrics_v")
+    views = {
+        "orders_v": orders.order_lines_dated(raw),
+        "customer_loyalty_metrics_v": orders.loyalty_metrics(raw),
+    }
+    for name, rows in views.items():
+        commented_view(rows, name, COMMENTS[name])
     for statement in FUNCTIONS:
         spark.sql(statement)
 
