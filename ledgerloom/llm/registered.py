@@ -6,7 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import mixing, quality_rules, sharding
+from ledgerloom.llm import (
+    decontamination,
+    mixing,
+    ngram_join,
+    quality_rules,
+    sharding,
+    token_files,
+)
+from ledgerloom.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -48,6 +56,22 @@ def op2_jump_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op5_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.similar_documents(table(spark, folder, "documents"))
+
+
+@query
+def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    files = scratch_path(spark, "token-files")
+    token_files.write_tokens(
+        table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), files
+    )
+    return token_files.digests(spark, files).withColumnRenamed("id", "doc_id")
+
+
 @query
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixed_documents(table(spark, folder, "documents")).select(
@@ -57,3 +81,9 @@ def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
         "target",
         (F.col("size") * F.col("times")).cast("long").alias("taken"),
     )
+
+
+@query
+def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontamination.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select("doc_id", "item_id", "coverage", F.size("tiles").alias("n_tiles"))

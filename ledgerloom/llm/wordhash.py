@@ -15,8 +15,11 @@ import pyarrow.compute  # noqa: F401
 PIECE_BYTES = 1 << 20
 WORDS_AT_ONCE = 1 << 17
 _BASE = 0x9E3779B97F4A7C55
-_BLANK = np.zeros(256, dtype=bool)
-_BLANK[[9, 10, 11, 12, 13, 32]] = True
+BLANK = np.zeros(256, dtype=bool)
+BLANK[[9, 10, 11, 12, 13, 32]] = True
+# Blanks and ASCII punctuation.
+BLANK_OR_MARK = BLANK.copy()
+BLANK_OR_MARK[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
 _U = np.uint64
 
 
@@ -47,6 +50,25 @@ def _power_table(length: int) -> np.ndarray:
     return _powers
 
 
+def span_hashes(
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, outside: np.ndarray | None = None
+) -> np.ndarray:
+    """A hash of each span of bytes; spans are in order and what lies between is ``outside``."""
+    out = np.empty(len(starts), dtype=_U)
+    for low in range(0, len(starts), WORDS_AT_ONCE):
+        some = starts[low : low + WORDS_AT_ONCE]
+        begin, end = some[0], ends[min(low + WORDS_AT_ONCE, len(ends)) - 1]
+        widths = np.diff(np.append(some, end))
+        place = np.arange(end - begin) - np.repeat(some - begin, widths)
+        values = data[begin:end].astype(_U)
+        values += _U(1)
+        values *= _power_table(int(widths.max()))[place]
+        if outside is not None:
+            values[outside[begin:end]] = 0
+        out[low : low + WORDS_AT_ONCE] = np.add.reduceat(values, some - begin)
+    return mixed(out)
+
+
 class Words:
     """The words of a list of texts.
 
@@ -54,30 +76,16 @@ class Words:
     text i are at ``first[i]`` up to ``first[i + 1]``. A null or blank text has none.
     """
 
-    def __init__(self, texts: Sequence[str | None], fold: bool = True):
+    def __init__(self, texts: Sequence[str | None], fold: bool = True, breaks: np.ndarray = BLANK):
         parts = [(text.lower() if fold else text).encode() if text else b"" for text in texts]
         self.data = np.frombuffer(b"\n" + b"\n".join(parts) + b"\n", dtype=np.uint8)
         sizes = np.fromiter((len(part) + 1 for part in parts), dtype=np.int64, count=len(parts))
         self.offsets = np.concatenate(([0], np.cumsum(sizes))) + 1
-        blank = _BLANK[self.data]
+        blank = breaks[self.data]
         edges = np.flatnonzero(blank[1:] != blank[:-1]) + 1
         self.starts, self.ends = edges[0::2], edges[1::2]
         self.first = np.searchsorted(self.starts, self.offsets)
-        self.hashes = self._hashes(blank)
-
-    def _hashes(self, blank: np.ndarray) -> np.ndarray:
-        out = np.empty(len(self.starts), dtype=_U)
-        for low in range(0, len(self.starts), WORDS_AT_ONCE):
-            starts = self.starts[low : low + WORDS_AT_ONCE]
-            begin, end = starts[0], self.ends[min(low + WORDS_AT_ONCE, len(self.ends)) - 1]
-            widths = np.diff(np.append(starts, end))
-            place = np.arange(end - begin) - np.repeat(starts - begin, widths)
-            values = self.data[begin:end].astype(_U)
-            values += _U(1)
-            values *= _power_table(int(widths.max()))[place]
-            values[blank[begin:end]] = 0
-            out[low : low + WORDS_AT_ONCE] = np.add.reduceat(values, starts - begin)
-        return mixed(out)
+        self.hashes = span_hashes(self.data, self.starts, self.ends, blank)
 
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
