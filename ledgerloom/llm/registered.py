@@ -8,11 +8,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerloom.llm import (
     decontamination,
+    language_id,
+    masked_lm,
     mixing,
     ngram_join,
     quality_rules,
     sharding,
     token_files,
+    toxicity,
 )
 from ledgerloom.session import scratch_path
 
@@ -87,3 +90,31 @@ def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
 def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontamination.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select("doc_id", "item_id", "coverage", F.size("tiles").alias("n_tiles"))
+
+
+@query
+def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    fold = language_id.fold("doc_id", 4)
+    model = language_id.fit(docs.filter(fold != 2))
+    return language_id.predicted(docs, model).select(
+        "doc_id", F.coalesce(fold == 2, F.lit(False)).alias("held_out"), "lang_pred", "score"
+    )
+
+
+@query
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    fold = language_id.fold("doc_id", 3)
+    grammar = toxicity.learn(toxicity.labelled(docs, labels.filter(fold != 1), toxicity.TRAIN_ROWS))
+    return toxicity.scored(docs, grammar).select(
+        "doc_id",
+        F.coalesce(fold == 1, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
+@query
+def op6_masked_lm(spark: SparkSession, folder: str) -> DataFrame:
+    return masked_lm.pseudo_likelihood(table(spark, folder, "documents"))
