@@ -14,6 +14,7 @@ from ledgerloom.llm import (
     ngram_join,
     quality_rules,
     sharding,
+    substring_chains,
     token_files,
     toxicity,
 )
@@ -118,3 +119,8 @@ def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op6_masked_lm(spark: SparkSession, folder: str) -> DataFrame:
     return masked_lm.pseudo_likelihood(table(spark, folder, "documents"))
+
+
+@query
+def op4_substring_chains(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_chains.repeated_passages(table(spark, folder, "documents"))
