@@ -24,10 +24,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.llm.runs import runs
 from ledgerloom.llm.stored import stored
-from ledgerloom.llm.wordhash import Words, pieces, texts_of
+from ledgerloom.llm.wordhash import Words, mixed, pieces, texts_of
 
 MIN_WORDS, IDENTITY = 50, 0.8
-SEED, WINDOW = 6, 16
+SEED, WINDOW, EVERY = 6, 16, 32
 GAP_COST = 0.05
 MARGIN, RANGE = 40, 64
 DROP, BRIDGE, AGREE = 8, 4, 3
@@ -35,7 +35,11 @@ _U = np.uint64
 
 
 def minimizers(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Text, word position and hash of each seed; the first of equal hashes in a text."""
+    """Text, word position and hash of each seed.
+
+    Of equal hashes in a text the first counts, and each ``EVERY`` after it as another seed: a word
+    or line over and over still has two seeds in ``min_words``, and no text has many alike.
+    """
     counts = words.counts()
     windows = np.maximum(counts - SEED + 1, 0)
     hashes, first = words.grams(SEED)
@@ -54,8 +58,11 @@ def minimizers(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     order = picked[np.lexsort((place[picked], hashes[picked], owner[picked]))]
     new = np.ones(len(order), dtype=bool)
     new[1:] = (hashes[order][1:] != hashes[order][:-1]) | (owner[order][1:] != owner[order][:-1])
-    kept = order[new]
-    return owner[kept], place[kept], hashes[kept]
+    begins = np.flatnonzero(new)
+    times = np.arange(len(order)) - np.repeat(begins, np.diff(np.append(begins, len(order))))
+    kept = order[times % EVERY == 0]
+    turn = (times[times % EVERY == 0] // EVERY).astype(_U)
+    return owner[kept], place[kept], np.where(turn > 0, mixed(hashes[kept] + turn), hashes[kept])
 
 
 def _sliding(values: np.ndarray, owner: np.ndarray, pick) -> np.ndarray:
