@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from ledgerloom.llm.stored import stored
 from ledgerloom.llm.wordhash import Words, mixed, multipliers, pieces, texts_of
 
 GROUPS = 32
@@ -57,12 +58,16 @@ class Network:
         return sum(int(np.prod(shape)) for shape in cls.SHAPES.values())
 
     @classmethod
-    def initial(cls) -> Network:
-        """Small values that are the same everywhere."""
+    def initial(cls, shares: np.ndarray | None = None) -> Network:
+        """Small values that are the same everywhere; biases that give each entry its share."""
         noise = (multipliers(cls.size(), 23) >> _U(40)).astype(np.float32) / (1 << 24) - 0.5
         net = cls(noise)
         for name, part in net.parts().items():
             part *= 0.0 if name.endswith("bias") else 2 / np.sqrt(max(part.shape[-2], 1) if name != "embed" else 1)
+        if shares is not None:
+            table = shares.reshape(GROUPS, GROUPS)
+            net.parts()["group_bias"][:] = np.log(table.sum(1))
+            net.parts()["member_bias"][:] = np.log(table)
         return net
 
     def parts(self, flat: np.ndarray | None = None) -> dict[str, np.ndarray]:
@@ -136,9 +141,16 @@ def _residual(scores: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 class Vocabulary:
-    """Entries of the frequent words by their hashes; the rest by a remainder."""
+    """Entries of the frequent words by their hashes; the rest by a remainder.
 
-    def __init__(self, hashes: list[int]):
+    ``shares`` is how often each entry occurs, where the other words share theirs evenly.
+    """
+
+    def __init__(self, hashes: list[int], times: list[int] = (), total: int = 0):
+        counts = np.ones(VOCABULARY)
+        counts[: len(times)] += times
+        counts[VOCABULARY - OTHERS :] += (total - sum(times)) / OTHERS
+        self.shares = counts / counts.sum()
         given = np.array(hashes, dtype=np.int64).view(_U)
         self.order = np.argsort(given)
         self.sorted = given[self.order]
@@ -199,8 +211,10 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 def fit_vocabulary(docs: DataFrame) -> Vocabulary:
-    top = word_counts(docs).orderBy(F.desc("times"), "word").limit(VOCABULARY - OTHERS)
-    return Vocabulary([row.word for row in top.collect()])
+    counts = stored(word_counts(docs), "lm-word-counts")
+    total = counts.agg(F.sum("times")).first()[0] or 0
+    top = counts.orderBy(F.desc("times"), "word").limit(VOCABULARY - OTHERS).collect()
+    return Vocabulary([row.word for row in top], [row.times for row in top], total)
 
 
 def _trained(batches, net: Network, vocabulary: Vocabulary) -> tuple[np.ndarray, int]:
@@ -225,7 +239,7 @@ def _trained(batches, net: Network, vocabulary: Vocabulary) -> tuple[np.ndarray,
 def train(docs: DataFrame, vocabulary: Vocabulary, rounds=ROUNDS) -> Network:
     """A network trained on all rows of ``text``, each in one round."""
     context = docs.sparkSession.sparkContext
-    net, low, size = Network.initial(), 0, sum(rounds)
+    net, low, size = Network.initial(vocabulary.shares), 0, sum(rounds)
     share = F.pmod(F.xxhash64("text", F.lit("round")), F.lit(size))
 
     def copies(batches):

@@ -53,8 +53,8 @@ PRIORS = {
     "insult": 0.8,
     "targeted insult": 0.95,
     "threat": 0.95,
-    "negated": 0.4,
-    "reported": 0.4,
+    "negated": 0.15,
+    "reported": 0.15,
 }
 PRIOR_DOCUMENTS = 4
 _WORD = re.compile(r"[^\W\d_]+")
@@ -171,7 +171,7 @@ class Grammar:
         clean = 1 - NO_MATCH
         for pattern, weight in self.matches(text):
             odds = weight + log(self.shares[pattern] / (1 - self.shares[pattern]))
-            if pattern in ("insult", "targeted insult"):
+            if pattern != "threat":
                 odds -= log(PRIORS["insult"] / (1 - PRIORS["insult"]))
             clean *= 1 / (1 + exp(odds))
         return 1 - clean
