@@ -130,7 +130,7 @@ def train_dictionary(docs: DataFrame, tokenizer: str) -> bytes:
             content = b"".join(samples)[-DICTIONARY_BYTES:]
         yield pa.RecordBatch.from_arrays([pa.array([content], pa.binary())], ["content"])
 
-    return bytes(some.coalesce(1).mapInArrow(train, "content binary").first()[0])
+    return bytes(some.repartition(1).mapInArrow(train, "content binary").first()[0])
 
 
 def write_tokens(
