@@ -44,12 +44,17 @@ def field_as(value: Column, key: str, data_type: str) -> Column:
 
 
 def type_name(value: Column) -> Column:
-    """The runtime type of a VARIANT. A fixed-point number without fraction is an INTEGER."""
+    """The runtime type of a VARIANT. A fixed-point number without fraction is an INTEGER.
+
+    A type that has no plain name goes by its own.
+    """
     described = F.schema_of_variant(value)  # such as BIGINT, DECIMAL(3,1) or OBJECT<k: BIGINT>
     family = F.substring_index(F.substring_index(described, "<", 1), "(", 1)
     names = F.create_map(*[F.lit(text) for pair in TYPE_NAMES.items() for text in pair])
     whole = (family == "DECIMAL") & described.endswith(",0)")
-    return F.when(whole, F.lit("INTEGER")).otherwise(F.try_element_at(names, family))
+    return F.when(whole, F.lit("INTEGER")).otherwise(
+        F.coalesce(F.try_element_at(names, family), family)
+    )
 
 
 def as_number(value: Column, data_type: str = "decimal(38,4)") -> Column:

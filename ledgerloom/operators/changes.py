@@ -8,6 +8,7 @@ only the folders up to that day.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -20,12 +21,14 @@ def update_rows(
 ) -> DataFrame:
     """``rows`` with the assigned columns replaced where the predicate is true.
 
-    Every expression sees the old row, and each result takes the type of its column.
+    Every expression sees the old row, and each result takes the type of its column; a fraction
+    that goes into a whole-number column is rounded.
     """
     types = {field.name: field.dataType for field in rows.schema.fields}
+    given = rows.select(*[value.alias(name) for name, value in assignments.items()]).schema
     changed = {}
     for name, value in assignments.items():
-        new = value.cast(types[name])
+        new = tables.fitted(value, given[name].dataType, types[name])
         changed[name] = new if where is None else F.when(where, new).otherwise(F.col(name))
     return rows.withColumns(changed)
 
@@ -48,10 +51,32 @@ def update_commit(
     commit_id: Column,
     where: Column | None = None,
 ) -> DataFrame:
-    """Log rows of an update: one per current row that the predicate selects."""
+    """Log rows of an update: one per current row that the predicate selects.
+
+    Where the update moves rows to other keys, the keys they leave get tombstones, unless the same
+    commit writes them again. A key that would have two rows then fails the commit.
+    """
     current = history.latest(log, keys)
-    selected = current if where is None else current.filter(where)
-    return _commit(update_rows(selected, assignments), "U", commit_ts, commit_id)
+    chosen = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
+    selected = current.filter(chosen)
+    written = update_rows(selected, assignments)
+    if not set(keys) & set(assignments):
+        return _commit(written, "U", commit_ts, commit_id)
+    after = written.select(*keys).unionByName(current.filter(~chosen).select(*keys))
+    rows_of = after.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    taken = rows_of.select(*[F.col(k).alias(f"_{k}") for k in keys], "_rows")
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    twice = F.when(F.col("_rows") > 1, F.raise_error(F.lit("the update gives two rows one key")))
+    unique = (
+        written.join(taken, same)
+        .withColumn("_rows", F.coalesce(twice.cast("bigint"), F.col("_rows")))
+        .filter("_rows = 1")
+        .select(*written.columns)
+    )
+    left = selected.join(taken, same, "left_anti")
+    return _commit(unique, "U", commit_ts, commit_id).unionByName(
+        _commit(left, "D", commit_ts, commit_id)
+    )
 
 
 def delete_commit(
@@ -66,6 +91,11 @@ def write_log(log: DataFrame, path: str) -> DataFrame:
     return tables.write_new(_by_day(log), path, ["commit_date"])
 
 
+def write_pruned(log: DataFrame, keys: Sequence[str], cutoff: Column, path: str) -> DataFrame:
+    """Store at a new path what ``history.prune`` keeps of a log; commits then read only that."""
+    return write_log(history.prune(log, keys, cutoff).drop("commit_date"), path)
+
+
 def append_log(commit: DataFrame, path: str) -> DataFrame:
     """Add the rows of a commit to a stored log and return the log."""
     stored = commit.sparkSession.read.parquet(path)

@@ -53,6 +53,8 @@ def prune(log: DataFrame, keys: Sequence[str], cutoff: Column) -> DataFrame:
     Every version newer than the cutoff stays, and per key the last one at or before it.
     """
     newer = log.filter(F.col("commit_ts") > cutoff)
+    if "commit_date" in log.columns:
+        newer = newer.filter(F.col("commit_date") >= F.date_add(F.to_date(cutoff), -2))
     return newer.unionByName(last_versions(_until(log, cutoff), keys))
 
 

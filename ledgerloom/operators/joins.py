@@ -8,28 +8,24 @@ and only rows whose key is not NULL are worth a shuffle; the helpers see to both
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame, functions as F
-
-NULL_SLOTS = 8192
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
 def left_join(
-    left: DataFrame,
-    right: DataFrame,
-    left_key: str,
-    right_key: str,
-    spread_by: Sequence[str],
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, same_layout: bool = False
 ) -> DataFrame:
     """``left`` with the matching rows of ``right``; rows without a match keep NULLs.
 
-    Rows with a NULL key match nothing, so a hash of ``spread_by`` scatters them over many
-    partitions.
+    Rows with a NULL key match nothing, so a hash of all their values scatters them. With
+    ``same_layout`` both sides are tables bucketed alike on the key and join where they are; such a
+    join cannot split a hot key.
     """
-    slot, only_slot = _slots(left_key, right_key, spread_by)
+    if same_layout:
+        return left.join(right, F.col(left_key) == F.col(right_key), "left")
+    values = [f"`{f.name}`" for f in left.schema if _hashable(f.dataType)]
+    slot = F.when(F.col(left_key).isNull(), F.xxhash64(*values)).otherwise(F.lit(0).cast("bigint"))
     joined = left.withColumn("_slot", slot).join(
-        right.withColumn("_only_slot", only_slot),
+        right.withColumn("_only_slot", _zero(right_key)),
         (F.col(left_key) == F.col(right_key)) & (F.col("_slot") == F.col("_only_slot")),
         "left",
     )
@@ -37,24 +33,20 @@ def left_join(
 
 
 def without_match(
-    left: DataFrame,
-    right: DataFrame,
-    left_key: str,
-    right_key: str,
-    spread_by: Sequence[str],
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, same_layout: bool = False
 ) -> DataFrame:
-    """Rows of ``left`` whose key does not occur in ``right``; a NULL key never occurs."""
-    slot, only_slot = _slots(left_key, right_key, spread_by)
-    keys = right.select(right_key).distinct().withColumn("_only_slot", only_slot)
-    return (
-        left.withColumn("_slot", slot)
-        .join(
-            keys,
-            (F.col(left_key) == F.col(right_key)) & (F.col("_slot") == F.col("_only_slot")),
-            "left_anti",
-        )
-        .drop("_slot")
-    )
+    """Rows of ``left`` whose key does not occur in ``right``; a NULL key never occurs.
+
+    Rows with a NULL key go past the join and are not shuffled. ``same_layout`` as in
+    ``left_join``.
+    """
+    match = F.col(left_key) == F.col(right_key)
+    if same_layout:
+        return left.join(right.select(right_key), match, "left_anti")
+    keyed = left.filter(F.col(left_key).isNotNull()).withColumn("_slot", _zero(left_key))
+    keys = right.select(right_key).distinct().withColumn("_only_slot", _zero(right_key))
+    missing = keyed.join(keys, match & (F.col("_slot") == F.col("_only_slot")), "left_anti")
+    return missing.drop("_slot").unionByName(left.filter(F.col(left_key).isNull()))
 
 
 def join_totals(totals: DataFrame, rows: DataFrame, on: str) -> DataFrame:
@@ -77,11 +69,12 @@ def join_as_double(
     )
 
 
-def _slots(left_key: str, right_key: str, spread_by: Sequence[str]) -> tuple[Column, Column]:
-    slot = F.when(
-        F.col(left_key).isNull(), F.pmod(F.xxhash64(*spread_by), F.lit(NULL_SLOTS))
-    ).otherwise(F.lit(0).cast("bigint"))
-    return slot, _zero(right_key)
+def _hashable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return all(_hashable(f.dataType) for f in kind)
+    if isinstance(kind, T.ArrayType):
+        return _hashable(kind.elementType)
+    return not isinstance(kind, (T.MapType, T.VariantType))
 
 
 def _zero(key: str) -> Column:

@@ -29,6 +29,11 @@ def keep_recent(rows: DataFrame, moment: str, days: int) -> DataFrame:
 
 def expire(rows: DataFrame, moment: str, days: int, target: str) -> DataFrame:
     """Write the cleaned table to ``target`` and report rows kept and removed."""
-    kept = tables.write_new(keep_recent(rows, moment, days), target)
-    total = rows.agg(F.count("*")).scalar()
-    return kept.agg(F.count("*").alias("kept")).select("kept", (total - F.col("kept")).alias("removed"))
+    recent = (F.col(moment) >= cutoff(rows, moment, days)) | F.col(moment).isNull()
+    counted = rows.select(recent.alias("recent")).agg(
+        F.count_if("recent").alias("kept"), F.count_if(~F.coalesce("recent", F.lit(False))).alias("removed")
+    )
+    # Counted before the report is returned, so that later arrivals are in neither number.
+    numbers = counted.first()
+    tables.write_new(keep_recent(rows, moment, days), target)
+    return rows.sparkSession.createDataFrame([tuple(numbers)], counted.schema)

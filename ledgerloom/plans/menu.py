@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from decimal import ROUND_CEILING, ROUND_FLOOR, Decimal, localcontext
+
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ledgerloom.functions import variants
 from ledgerloom.functions.ordering import ascending, descending
@@ -52,14 +54,29 @@ def price_list(
     return menu.select(F.col(item).alias("item"), F.col(price).alias("price"))
 
 
-def prices_above(prices: DataFrame, floor: float) -> DataFrame:
+def prices_above(prices: DataFrame, floor: Decimal | int | float | str) -> DataFrame:
     """Entries of a price list dearer than the floor, dearest first."""
-    return _dearest_first(prices.filter(F.col("price") > F.lit(floor)))
+    return _dearest_first(prices.filter(F.col("price") > _bound(prices, floor, ROUND_FLOOR)))
 
 
-def prices_below(prices: DataFrame, ceiling: float) -> DataFrame:
+def prices_below(prices: DataFrame, ceiling: Decimal | int | float | str) -> DataFrame:
     """Entries of a price list cheaper than the ceiling, dearest first."""
-    return _dearest_first(prices.filter(F.col("price") < F.lit(ceiling)))
+    return _dearest_first(prices.filter(F.col("price") < _bound(prices, ceiling, ROUND_CEILING)))
+
+
+def _bound(prices: DataFrame, bound: Decimal | int | float | str, rounding: str) -> Column:
+    """The bound in the type of the price, so that the reader can use it.
+
+    Decimals that a price cannot have are cut toward the side where no price lies between.
+    """
+    kind, exact = prices.schema["price"].dataType, Decimal(str(bound))
+    if isinstance(kind, T.DecimalType):
+        step = Decimal(1).scaleb(-kind.scale)
+        with localcontext(prec=100):
+            return F.lit(str(exact.quantize(step, rounding))).cast(kind)
+    if isinstance(kind, T.IntegralType):
+        return F.lit(int(exact.to_integral_value(rounding)))
+    return F.lit(float(exact))
 
 
 def _dearest_first(prices: DataFrame) -> DataFrame:

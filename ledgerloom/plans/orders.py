@@ -60,7 +60,6 @@ def order_lines(raw: Mapping[str, DataFrame]) -> DataFrame:
         members,
         "header_customer_id",
         "customer_id",
-        spread_by=["order_id"],
     )
     items = raw["menu"].select("menu_item_id", "menu_item_name", "menu_type", "truck_brand_name")
     lines = (

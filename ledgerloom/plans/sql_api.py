@@ -36,11 +36,13 @@ FUNCTIONS = [
     CREATE OR REPLACE TEMPORARY FUNCTION menu_prices_above(price_floor DECIMAL(38,4))
     RETURNS TABLE (item STRING, price DECIMAL(38,4))
     RETURN SELECT item, price FROM price_list WHERE price > price_floor
+        ORDER BY price DESC NULLS FIRST, item NULLS LAST
     """,
     """
     CREATE OR REPLACE TEMPORARY FUNCTION menu_prices_below(price_ceiling DECIMAL(38,4))
     RETURNS TABLE (item STRING, price DECIMAL(38,4))
     RETURN SELECT item, price FROM price_list WHERE price < price_ceiling
+        ORDER BY price DESC NULLS FIRST, item NULLS LAST
     """,
 ]
 
@@ -50,6 +52,7 @@ def register_orders(spark: SparkSession, raw: Mapping[str, DataFrame]) -> None:
     for name, rows in raw.items():
         rows.createOrReplaceTempView(name)
     menu.price_list(raw["menu"]).createOrReplaceTempView("price_list")
+    orders.order_lines(raw).createOrReplaceTempView("harmonized_orders_v")
     orders.order_lines_dated(raw).createOrReplaceTempView("orders_v")
     orders.loyalty_metrics(raw).createOrReplaceTempView("customer_loyalty_metrics_v")
     for statement in FUNCTIONS:

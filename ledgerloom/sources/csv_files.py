@@ -67,6 +67,20 @@ def load_csv(
     return tables.write_new(conform(rows, json_columns, max_lengths), target)
 
 
+def load_more_csv(
+    spark: SparkSession,
+    directory: str,
+    schema: T.StructType,
+    target: str,
+    options: Mapping[str, str] | None = None,
+    json_columns: Iterable[str] = (),
+    max_lengths: Mapping[str, int] | None = None,
+) -> DataFrame:
+    """Load a directory into the table that is at ``target``, whose column types hold."""
+    rows = read_csv(spark, directory, schema, options)
+    return tables.append(conform(rows, json_columns, max_lengths), target)
+
+
 def load_raw_table(
     spark: SparkSession,
     table: str,

@@ -6,10 +6,15 @@ others read, and a lost executor only means that its tasks run again.
 
 from __future__ import annotations
 
+import datetime
+import json
 from collections.abc import Iterable, Mapping, Sequence
+from decimal import Decimal
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+
+PLAIN_VALUES = (str, bytes, bytearray, bool, int, float, Decimal, datetime.date, datetime.timedelta)
 
 
 def write_new(rows: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
@@ -27,14 +32,32 @@ def write_bucketed(rows: DataFrame, table: str, key: str, buckets: int) -> DataF
     return rows.sparkSession.table(table)
 
 
+def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """All rows of a table without partition columns, those in folders of loaded batches included."""
+    reader = spark.read.option("recursiveFileLookup", "true")
+    return (reader.schema(schema) if schema else reader).parquet(path)
+
+
 def append(rows: DataFrame, path: str) -> DataFrame:
     """Add ``rows`` to the table at ``path``, matching columns by name; return the table."""
-    spark = rows.sparkSession
-    schema = spark.read.parquet(path).schema
-    rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema]).write.mode(
-        "append"
-    ).parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    schema = read_table(rows.sparkSession, path).schema
+    as_stored(rows, schema).write.mode("append").parquet(path)
+    return read_table(rows.sparkSession, path, schema)
+
+
+def as_stored(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """The columns of ``schema``, by name, each as a value that its type can hold."""
+    types = {f.name: f.dataType for f in rows.schema}
+    return rows.select(
+        *[fitted(F.col(f.name), types[f.name], f.dataType).alias(f.name) for f in schema]
+    )
+
+
+def fitted(value: Column, kind: T.DataType, target: T.DataType) -> Column:
+    """``value`` of type ``kind`` as ``target``; a fraction is rounded, half away from zero."""
+    if isinstance(target, T.IntegralType) and isinstance(kind, (T.FractionalType, T.DecimalType)):
+        value = F.round(value)
+    return value.cast(target)
 
 
 def copy_table(rows: DataFrame, path: str) -> DataFrame:
@@ -51,17 +74,27 @@ def value_rows(spark: SparkSession, like: DataFrame, values: Iterable[Sequence])
     """Literal rows with the column names and types of ``like``.
 
     Text given for another type is cast as by an insert, for example ``'2024-01-01'`` to a
-    date. Text that does not fit its column fails.
+    date. Text that does not fit its column fails. Other values keep their type until they are
+    stored; dicts and lists become a VARIANT, and what has no literal is refused.
     """
     fields = like.schema.fields
-    texts = [
-        [None if value is None else str(value) for _, value in zip(fields, row, strict=True)]
+    structs = [
+        F.struct(*[_literal(v, f.dataType).alias(f.name) for f, v in zip(fields, row, strict=True)])
         for row in values
     ]
-    as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in fields])
-    return spark.createDataFrame(texts, as_text).select(
-        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields]
-    )
+    if not structs:
+        return like.limit(0)
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
+def _literal(value: object, target: T.DataType) -> Column:
+    if isinstance(value, (dict, list)) and isinstance(target, T.VariantType):
+        return F.parse_json(F.lit(json.dumps(value)))
+    if value is not None and not isinstance(value, PLAIN_VALUES):
+        raise TypeError(f"no literal for {type(value).__name__}: {value!r}")
+    if isinstance(value, (float, Decimal)):
+        return fitted(F.lit(value), T.DoubleType(), target)
+    return F.lit(value).cast(target)
 
 
 def row_counts(named: Mapping[str, DataFrame]) -> DataFrame:

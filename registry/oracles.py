@@ -259,6 +259,42 @@ ORACLES = {
         FROM ({_state("true")})
     """,
     "delete_log": f"""
-        SELECT user_id, event_type, value FROM ({_state("true")}) WHERE NOT value > 10
+        SELECT user_id, event_type, value FROM ({_state("true")}) WHERE (value > 10) IS NOT TRUE
+    """,
+    "load_then_append": "SELECT * FROM customer",
+    "table_fn_above_exact": """
+        SELECT p_name AS item, CAST(CAST(p_retailprice AS DECIMAL(38,4)) AS VARCHAR) AS price
+        FROM part WHERE CAST(p_retailprice AS DECIMAL(38,4)) > CAST('994.99995' AS DECIMAL(38,5))
+    """,
+    "table_fn_below_exact": """
+        SELECT p_name AS item, CAST(CAST(p_retailprice AS DECIMAL(38,4)) AS VARCHAR) AS price
+        FROM part WHERE CAST(p_retailprice AS DECIMAL(38,4)) < CAST('905.00005' AS DECIMAL(38,5))
+    """,
+    "films_not_stocked": """
+        SELECT film_id, title FROM (
+            SELECT CASE WHEN p_size % 7 > 0 THEN p_partkey END AS film_id, p_name AS title FROM part)
+        WHERE film_id IS NULL
+           OR film_id NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 48)
+    """,
+    "top_spend_category": """
+        SELECT r_name AS category,
+               CAST(sum(CAST(l_extendedprice AS DECIMAL(18,4))) AS VARCHAR) AS total_amount
+        FROM lineitem
+        JOIN orders ON l_orderkey = o_orderkey
+        JOIN customer ON o_custkey = c_custkey
+        JOIN nation ON c_nationkey = n_nationkey
+        JOIN region ON n_regionkey = r_regionkey
+        GROUP BY r_regionkey, r_name
+        ORDER BY sum(CAST(l_extendedprice AS DECIMAL(18,4))) DESC, r_regionkey LIMIT 3
+    """,
+    "update_key_log": f"""
+        SELECT user_id * 2 + CASE WHEN value > 10 THEN 1 ELSE 0 END AS user_id, event_type, value
+        FROM ({_state("true")})
+    """,
+    "update_rounded": f"""
+        SELECT user_id, event_type, CAST(round(round(value) / 2) AS BIGINT) AS value
+        FROM ({_state("true")})
     """,
+    "asof_stored_log": _state("commit_ts <= TIMESTAMP '2024-01-15 12:00:00'"),
+    "prune_stored_log": _state("commit_ts <= TIMESTAMP '2024-01-15 12:00:00'"),
 }

@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
 
 from ledgerloom.functions import scalars, variants
 from ledgerloom.functions.ordering import ascending
@@ -31,15 +30,9 @@ def query(function: Query) -> Query:
     return function
 
 
-SCHEMAS: dict[str, StructType] = {}
-
-
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    """A table of the folder. Its schema is looked up in the files once per process."""
-    path = f"{folder}/{table}.parquet"
-    if path not in SCHEMAS:
-        SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(SCHEMAS[path]).parquet(path)
+    """A table of the folder."""
+    return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
 def cents(name: str) -> Column:
@@ -161,7 +154,40 @@ def anti_join(spark: SparkSession, folder: str) -> DataFrame:
         .select("o_custkey")
     )
     customers = read(spark, folder, "customer").select("c_custkey", "c_name")
-    return joins.without_match(customers, urgent, "c_custkey", "o_custkey", ["c_name"])
+    return joins.without_match(customers, urgent, "c_custkey", "o_custkey")
+
+
+@query
+def films_not_stocked(spark: SparkSession, folder: str) -> DataFrame:
+    film = read(spark, folder, "part").select(
+        F.when(F.col("p_size") % 7 > 0, F.col("p_partkey")).alias("film_id"), F.col("p_name").alias("title")
+    )
+    stocked = read(spark, folder, "lineitem").filter("l_quantity > 48").select(F.col("l_partkey").alias("film_id"))
+    return rental.films_not_stocked(film, stocked)
+
+
+@query
+def top_spend_category(spark: SparkSession, folder: str) -> DataFrame:
+    lines = read(spark, folder, "lineitem")
+    payment = lines.select(
+        F.col("l_orderkey").alias("rental_id"),
+        F.col("l_extendedprice").cast("decimal(18,4)").alias("amount"),
+    )
+    rentals = read(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("rental_id"), F.col("o_custkey").alias("inventory_id")
+    )
+    inventory = read(spark, folder, "customer").select(
+        F.col("c_custkey").alias("inventory_id"), F.col("c_nationkey").alias("film_id")
+    )
+    nation = read(spark, folder, "nation")
+    film_category = nation.select(
+        F.col("n_nationkey").alias("film_id"), F.col("n_regionkey").alias("category_id")
+    )
+    category = read(spark, folder, "region").select(
+        F.col("r_regionkey").alias("category_id"), F.col("r_name").alias("name")
+    )
+    best = rental.top_spend_category(payment, rentals, inventory, film_category, category, k=3)
+    return best.select("category", F.col("total_amount").cast("string").alias("total_amount"))
 
 
 # --- the order system's views -------------------------------------------------------------------
@@ -179,7 +205,7 @@ def orders_wide_view(spark: SparkSession, folder: str) -> DataFrame:
         .select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
     )
     headers = joins.left_join(
-        read(spark, folder, "orders"), members, "o_custkey", "c_custkey", ["o_orderkey"]
+        read(spark, folder, "orders"), members, "o_custkey", "c_custkey"
     )
     parts = read(spark, folder, "part").select("p_partkey", "p_name", "p_brand", "p_type")
     return (
@@ -344,6 +370,24 @@ def table_fn_below(spark: SparkSession, folder: str) -> DataFrame:
     return menu.prices_below(part_prices(spark, folder), 905.0)
 
 
+def stored_prices(spark: SparkSession, folder: str) -> DataFrame:
+    """The prices as stored fixed-point numbers."""
+    priced = part_prices(spark, folder).select("item", F.col("price").cast("decimal(38,4)").alias("price"))
+    return tables.write_new(priced, scratch_path(spark, "prices"))
+
+
+@query
+def table_fn_above_exact(spark: SparkSession, folder: str) -> DataFrame:
+    above = menu.prices_above(stored_prices(spark, folder), "994.99995")
+    return above.select("item", F.col("price").cast("string").alias("price"))
+
+
+@query
+def table_fn_below_exact(spark: SparkSession, folder: str) -> DataFrame:
+    below = menu.prices_below(stored_prices(spark, folder), "905.00005")
+    return below.select("item", F.col("price").cast("string").alias("price"))
+
+
 @query
 def table_fn_ilike(spark: SparkSession, folder: str) -> DataFrame:
     return menu.prices_above(part_prices(spark, folder), 950.0).filter(
@@ -434,6 +478,22 @@ def csv_load_incremental(spark: SparkSession, folder: str) -> DataFrame:
     return load_arrivals(spark, directory, source.schema, target, history_)
 
 
+@query
+def load_then_append(spark: SparkSession, folder: str) -> DataFrame:
+    """Two drops loaded once, a rerun, rows appended beside them, and a third drop."""
+    source = read(spark, folder, "customer")
+    part = F.pmod(F.col("c_custkey"), F.lit(4))
+    directory = scratch_path(spark, "arrivals")
+    target, history_ = scratch_path(spark, "loaded"), scratch_path(spark, "history")
+    for drop in (0, 1):
+        write_csv(source.filter(part == drop), f"{directory}/{drop}")
+        load_arrivals(spark, directory, source.schema, target, history_)
+    load_arrivals(spark, directory, source.schema, target, history_)  # nothing new
+    tables.append(source.filter(part == 2), target)
+    write_csv(source.filter(part == 3), f"{directory}/3")
+    return load_arrivals(spark, directory, source.schema, target, history_)
+
+
 @query
 def insert_values(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "insert")
@@ -565,3 +625,53 @@ def delete_log(spark: SparkSession, folder: str) -> DataFrame:
         newest.select("id").scalar() + 1,
     )
     return history.latest(changes.append_log(commit, path), ["user_id"])
+
+
+@query
+def update_key_log(spark: SparkSession, folder: str) -> DataFrame:
+    """Every second user moves to the next key; nobody is left at the old one."""
+    path = scratch_path(spark, "log")
+    doubled = event_log(spark, folder).withColumn("user_id", F.col("user_id") * 2)
+    log = changes.write_log(doubled, path)
+    newest = log.agg(F.max("commit_ts").alias("ts"), F.max("commit_id").alias("id"))
+    commit = changes.update_commit(
+        log,
+        ["user_id"],
+        {"user_id": F.col("user_id") + 1},
+        scalars.add_days(newest.select("ts").scalar(), 1),
+        newest.select("id").scalar() + 1,
+        F.col("value") > 10,
+    )
+    return history.latest(changes.append_log(commit, path), ["user_id"])
+
+
+@query
+def update_rounded(spark: SparkSession, folder: str) -> DataFrame:
+    """A quotient that goes into a whole-number column."""
+    path = scratch_path(spark, "log")
+    whole = event_log(spark, folder).withColumn("value", F.round("value").cast("bigint"))
+    log = changes.write_log(whole, path)
+    newest = log.agg(F.max("commit_ts").alias("ts"), F.max("commit_id").alias("id"))
+    commit = changes.update_commit(
+        log,
+        ["user_id"],
+        {"value": F.col("value") / 2},
+        scalars.add_days(newest.select("ts").scalar(), 1),
+        newest.select("id").scalar() + 1,
+    )
+    return history.latest(changes.append_log(commit, path), ["user_id"])
+
+
+@query
+def asof_stored_log(spark: SparkSession, folder: str) -> DataFrame:
+    log = changes.write_log(event_log(spark, folder), scratch_path(spark, "log"))
+    return history.as_of(log, ["user_id"], instant("2024-01-15 12:00:00"), with_commit=True)
+
+
+@query
+def prune_stored_log(spark: SparkSession, folder: str) -> DataFrame:
+    """The state before the last commits, read from a log that was pruned and stored."""
+    log = changes.write_log(event_log(spark, folder), scratch_path(spark, "log"))
+    cutoff = instant("2024-01-15 12:00:00")
+    pruned = changes.write_pruned(log, ["user_id"], cutoff, scratch_path(spark, "pruned"))
+    return history.as_of(pruned, ["user_id"], cutoff, with_commit=True)

@@ -161,3 +161,25 @@ def test_retention_reaches_the_scan(spark, new_path):
     plan = physical_plan(retention.keep_recent(stored, "ts", 1))
     assert "PushedFilters: [Or(GreaterThanOrEqual(ts,ScalarSubquery" in plan
     assert "Join" not in plan
+
+
+def test_updates_that_move_keys(spark):
+    log = spark.sql(
+        "SELECT id AS k, id * 10 AS v, TIMESTAMP_NTZ '2024-01-01 00:00:00' AS commit_ts, id AS commit_id, 'U' AS op "
+        "FROM range(5)"
+    )
+    when, number = F.lit("2024-01-02").cast("timestamp_ntz"), F.lit(100)
+
+    def after(assignments, where=None):
+        commit = changes.update_commit(log, ["k"], assignments, when, number, where)
+        return sorted(rows(history.latest(log.unionByName(commit), ["k"])), key=str)
+
+    assert after({"k": F.col("k") + 1}) == [(k + 1, k * 10) for k in range(5)]
+    assert after({"k": 1 - F.col("k")}, F.col("k") < 2) == [(0, 10), (1, 0), (2, 20), (3, 30), (4, 40)]
+    assert after({"k": F.lit(None)}, F.col("k") == 2) == [(0, 0), (1, 10), (3, 30), (4, 40), (None, 20)]
+    for collision in ({"k": F.lit(9)}, {"k": F.col("k") % 2}):
+        with pytest.raises(Exception, match="two rows one key"):
+            after(collision)
+    with pytest.raises(Exception, match="two rows one key"):
+        after({"k": F.lit(3)}, F.col("k") == 1)
+    assert after({"v": F.col("v") / 4})[1:3] == [(1, 3), (2, 5)]

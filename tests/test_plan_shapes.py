@@ -2,22 +2,24 @@
 
 import pytest
 
-import __spark_entry__ as contract
+from registry.queries import QUERIES
 from tests.util import physical_plan
 
 FOLDER = "/root/testdata/sf0.001"
 WRITES = {
     "csv_load", "csv_load_incremental", "insert_values", "ctas_variant", "clone_append_counts",
     "clone_asof", "retention_job", "update_log", "delete_log",
+    "load_then_append", "update_key_log", "update_rounded", "table_fn_above_exact",
+    "table_fn_below_exact", "asof_stored_log", "prune_stored_log",
 }
 
 
 @pytest.fixture(scope="module")
 def plan(spark):
-    return lambda name: physical_plan(contract.queries()[name](spark, FOLDER))
+    return lambda name: physical_plan(QUERIES[name](spark, FOLDER))
 
 
-@pytest.mark.parametrize("name", sorted(set(contract.queries()) - WRITES))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITES))
 def test_no_python_and_no_pair_join(plan, name):
     shape = plan(name)
     assert "Python" not in shape and "CartesianProduct" not in shape

@@ -49,7 +49,7 @@ def test_totals_meet_hot_rows(spark, small_splits):
 
 def test_left_join_splits_hot_key(spark, small_splits):
     joined = joins.left_join(
-        facts(spark), keys(spark).filter("key_id <> 3"), "key", "key_id", ["fact_id"]
+        facts(spark), keys(spark).filter("key_id <> 3"), "key", "key_id"
     )
     assert "skew=true" in executed_plan(joined)
     assert joined.count() == ROWS
@@ -64,7 +64,7 @@ def test_left_join_scatters_null_keys(spark, settings):
         spark__sql__autoBroadcastJoinThreshold="-1",
         spark__sql__adaptive__enabled="false",
     ):
-        joined = joins.left_join(half_null, keys(spark), "key", "key_id", ["fact_id"])
+        joined = joins.left_join(half_null, keys(spark), "key", "key_id")
         sizes = [
             n for _, n in rows(joined.groupBy(F.spark_partition_id()).count())
         ]
@@ -76,7 +76,7 @@ def test_left_join_scatters_null_keys(spark, settings):
 
 def test_anti_join_splits_hot_key_and_has_no_duplicates(spark, small_splits):
     stocked = facts(spark).select(F.col("key").alias("stocked")).filter("stocked <> 7")
-    left = joins.without_match(facts(spark), stocked, "key", "stocked", ["fact_id"])
+    left = joins.without_match(facts(spark), stocked, "key", "stocked")
     assert "skew=true" in executed_plan(left)
     assert left.count() == facts(spark).filter("key = 7").count()
 

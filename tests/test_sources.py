@@ -100,7 +100,7 @@ def test_arrivals_load_once(spark, new_path):
     write(new_path("in"), "d.csv", "oops\n")
     with pytest.raises(Exception, match="MALFORMED|FAILED_READ_FILE|malformed"):
         load()
-    assert spark.read.parquet(new_path("out")).count() == 3
+    assert tables.read_table(spark, new_path("out")).count() == 3
     write(new_path("in"), "d.csv", "4,d\n")  # repaired: the failed batch runs again
     assert load().count() == 4
 
@@ -169,3 +169,34 @@ def test_scratch_paths_are_shared_and_new(spark):
 def test_shuffle_partitions():
     assert shuffle_partitions(0, 8) == 8
     assert shuffle_partitions(100 * 1024**4, 4000) == 409_600
+
+
+def test_arrivals_into_nothing_and_into_a_table(spark, new_path):
+    os.makedirs(new_path("in"))
+    empty = load_arrivals(spark, new_path("in"), TWO, new_path("out"), new_path("history"))
+    assert empty.count() == 0 and empty.columns == TWO.names
+    wide = spark.sql("SELECT 7L AS n, 'x' AS t").select(*[F.col(c).alias(f) for c, f in zip("nt", TWO.names)])
+    tables.write_new(wide, new_path("old"))
+    write(new_path("in"), "a.csv", "1,a\n")
+    for name in ("other", "history2"):
+        loaded = load_arrivals(spark, new_path("in"), TWO, new_path("old"), new_path(name))
+    assert sorted(rows(loaded)) == [(1, "a"), (1, "a"), (7, "x")]
+    assert loaded.dtypes[0][1] == "bigint"
+    assert tables.append(wide, new_path("old")).count() == 4
+    assert load_arrivals(spark, new_path("in"), TWO, new_path("old"), new_path("other")).count() == 4
+
+
+def test_literals_keep_their_type(spark):
+    like = spark.createDataFrame([], "b BINARY, n BIGINT, d DECIMAL(10,2), v VARIANT")
+    got = tables.value_rows(spark, like, [(b"ab", 12.5, Decimal("1.005"), {"k": [1]}), (None, -12.5, 3, None)])
+    assert got.schema == like.schema
+    assert rows(got.select("b", "n", "d", F.to_json("v"))) == [
+        (b"ab", 13, Decimal("1.01"), '{"k":[1]}'), (None, -13, Decimal("3.00"), None)]
+    with pytest.raises(TypeError):
+        tables.value_rows(spark, like, [(object(), 1, 1, None)])
+
+
+def test_append_rounds_fractions(spark, new_path):
+    tables.write_new(spark.sql("SELECT 1L AS n"), new_path("t"))
+    got = tables.append(spark.sql("SELECT explode(array(2.5D, -2.5D, 2.4D)) AS n"), new_path("t"))
+    assert sorted(rows(got)) == [(-3,), (1,), (2,), (3,)]
