@@ -12,6 +12,7 @@ from ledgerloom.llm import (
     masked_lm,
     mixing,
     ngram_join,
+    oracles,
     quality_rules,
     sharding,
     substring_chains,
@@ -21,7 +22,7 @@ from ledgerloom.llm import (
 from ledgerloom.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = dict(oracles.ORACLES)
 
 
 def query(function):
