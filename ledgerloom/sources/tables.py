@@ -84,7 +84,7 @@ def value_rows(spark: SparkSession, like: DataFrame, values: Iterable[Sequence])
     ]
     if not structs:
         return like.limit(0)
-    return spark.range(1).select(F.inline(F.array(*structs)))
+    return like.limit(0).unionByName(spark.range(1).select(F.inline(F.array(*structs))))
 
 
 def _literal(value: object, target: T.DataType) -> Column:
