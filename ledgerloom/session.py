@@ -38,15 +38,20 @@ def build_session(
     master: str | None = None,
     partitions: int | None = None,
     settings: dict[str, str] | None = None,
+    shuffled_bytes: int | None = None,
+    cores: int = 1,
 ) -> SparkSession:
     """A session with the settings the operators are tuned for.
 
-    ``partitions`` is the shuffle width before adaptive coalescing; see ``shuffle_partitions``.
+    ``partitions`` is the shuffle width before adaptive coalescing. Without it, the width follows
+    from ``shuffled_bytes``, the size of the largest shuffle to expect, and the cluster's ``cores``.
     """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     merged = {**SETTINGS, **(settings or {})}
+    if partitions is None and shuffled_bytes is not None:
+        partitions = shuffle_partitions(shuffled_bytes, cores)
     if partitions:
         merged["spark.sql.shuffle.partitions"] = str(partitions)
     for key, value in merged.items():

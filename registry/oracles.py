@@ -297,4 +297,35 @@ ORACLES = {
     """,
     "asof_stored_log": _state("commit_ts <= TIMESTAMP '2024-01-15 12:00:00'"),
     "prune_stored_log": _state("commit_ts <= TIMESTAMP '2024-01-15 12:00:00'"),
+    "sql_orders_view": """
+        SELECT CAST(o_orderdate AS DATE) AS date, o_orderkey AS order_id,
+               CAST(l_linenumber AS BIGINT) AS line_number, s_name AS primary_city,
+               f.n_name AS franchisee_first_name, CAST(p.n_nationkey AS BIGINT) AS location_id,
+               c_custkey AS customer_id, c_name AS first_name, p_name AS menu_item_name,
+               CAST(l_quantity AS INTEGER) AS quantity,
+               CAST(CAST(l_extendedprice AS DECIMAL(38,4)) AS VARCHAR) AS price
+        FROM lineitem
+        JOIN orders ON l_orderkey = o_orderkey
+        JOIN supplier ON o_custkey % 100 + 1 = s_suppkey
+        JOIN nation f ON s_nationkey = f.n_nationkey
+        JOIN nation p ON o_orderkey % 30 = p.n_nationkey
+        JOIN part ON l_partkey = p_partkey
+        LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) ON o_custkey = c_custkey
+    """,
+    "sql_prices_above": """
+        SELECT p_name AS item, CAST(CAST(p_retailprice AS DECIMAL(38,4)) AS VARCHAR) AS price
+        FROM part WHERE CAST(p_retailprice AS DECIMAL(38,4)) > 995
+    """,
+    "sql_loyalty_view": """
+        SELECT c_custkey AS customer_id, c_name AS first_name,
+               CAST(sum(CAST(o_totalprice AS DECIMAL(38,4))) AS VARCHAR) AS total_sales,
+               count(DISTINCT o_orderkey % 30) AS places
+        FROM customer JOIN orders ON c_custkey = o_custkey WHERE c_acctbal > 0
+        GROUP BY c_custkey, c_name
+    """,
+    "trucks_report": """
+        SELECT s_suppkey AS truck_id, s_name AS primary_city, CAST(s_nationkey AS BIGINT) AS franchise_id,
+               n_name AS franchisee_first_name, 'x' AS franchisee_last_name
+        FROM supplier JOIN nation ON s_nationkey = n_nationkey
+    """,
 }

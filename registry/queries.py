@@ -15,7 +15,7 @@ from ledgerloom.functions import scalars, variants
 from ledgerloom.functions.ordering import ascending
 from ledgerloom.operators import changes, history, joins, ranking, retention
 from ledgerloom.operators.rollup import roll_up
-from ledgerloom.plans import menu, orders, rental
+from ledgerloom.plans import menu, orders, rental, sql_api, trucks
 from ledgerloom.session import scratch_path
 from ledgerloom.sources import csv_files, tables
 from ledgerloom.streaming.csv_arrivals import load_arrivals
@@ -675,3 +675,77 @@ def prune_stored_log(spark: SparkSession, folder: str) -> DataFrame:
     cutoff = instant("2024-01-15 12:00:00")
     pruned = changes.write_pruned(log, ["user_id"], cutoff, scratch_path(spark, "pruned"))
     return history.as_of(pruned, ["user_id"], cutoff, with_commit=True)
+
+
+# --- the shipped reports by their SQL names, on tables mapped to the order system's ---------------
+
+
+def order_system(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The generated tables with the order system's names and columns."""
+    money = "CAST({} AS DECIMAL(38,4)) AS {}".format
+    customer, nation = read(spark, folder, "customer"), read(spark, folder, "nation")
+    return {
+        "order_detail": read(spark, folder, "lineitem").selectExpr(
+            "CAST(l_linenumber AS BIGINT) AS order_detail_id", "l_orderkey AS order_id",
+            "l_partkey AS menu_item_id", "CAST(l_linenumber AS BIGINT) AS line_number",
+            "CAST(l_quantity AS INT) AS quantity", money("l_tax", "unit_price"),
+            money("l_extendedprice", "price"),
+        ),
+        "order_header": read(spark, folder, "orders").selectExpr(
+            "o_orderkey AS order_id", "o_custkey % 100 + 1 AS truck_id", "o_orderdate AS order_ts",
+            "CAST(o_orderkey % 30 AS DOUBLE) AS location_id", "o_custkey AS customer_id",
+            money("o_totalprice", "order_amount"), "'0' AS order_tax_amount",
+            "'0' AS order_discount_amount", money("o_totalprice", "order_total"),
+        ),
+        "truck": read(spark, folder, "supplier").selectExpr(
+            "s_suppkey AS truck_id", "s_name AS primary_city", "'r' AS region", "'c' AS country",
+            "1L AS franchise_flag", "CAST(s_nationkey AS BIGINT) AS franchise_id",
+        ),
+        "franchise": nation.selectExpr(
+            "CAST(n_nationkey AS BIGINT) AS franchise_id", "n_name AS first_name", "'x' AS last_name"
+        ),
+        "location": nation.selectExpr("CAST(n_nationkey AS BIGINT) AS location_id"),
+        "customer_loyalty": customer.filter("c_acctbal > 0").selectExpr(
+            "c_custkey AS customer_id", "c_name AS first_name", "c_mktsegment AS last_name",
+            "'e' AS e_mail", "'p' AS phone_number", "'0' AS children_count", "'g' AS gender",
+            "'m' AS marital_status", "'t' AS city", "'c' AS country",
+        ),
+        "menu": read(spark, folder, "part").selectExpr(
+            "p_partkey AS menu_item_id", "p_name AS menu_item_name", "p_type AS menu_type",
+            "p_brand AS truck_brand_name", money("p_retailprice", "sale_price_usd"),
+        ),
+    }
+
+
+@query
+def sql_orders_view(spark: SparkSession, folder: str) -> DataFrame:
+    sql_api.register_orders(spark, order_system(spark, folder))
+    return spark.sql(
+        """SELECT date, order_id, line_number, primary_city, franchisee_first_name, location_id,
+                  customer_id, first_name, menu_item_name, quantity, CAST(price AS STRING) AS price
+           FROM orders_v"""
+    )
+
+
+@query
+def sql_prices_above(spark: SparkSession, folder: str) -> DataFrame:
+    sql_api.register_orders(spark, order_system(spark, folder))
+    return spark.sql("SELECT item, CAST(price AS STRING) AS price FROM menu_prices_above(995)")
+
+
+@query
+def sql_loyalty_view(spark: SparkSession, folder: str) -> DataFrame:
+    sql_api.register_orders(spark, order_system(spark, folder))
+    return spark.sql(
+        """SELECT customer_id, first_name, CAST(total_sales AS STRING) AS total_sales,
+                  CAST(size(visited_location_ids_array) AS BIGINT) AS places
+           FROM customer_loyalty_metrics_v"""
+    )
+
+
+@query
+def trucks_report(spark: SparkSession, folder: str) -> DataFrame:
+    tables_ = order_system(spark, folder)
+    return trucks.trucks_with_franchisee(tables_["truck"], tables_["franchise"]).select(
+        "truck_id", "primary_city", "franchise_id", "franchisee_first_name", "franchisee_last_name"
+    )
