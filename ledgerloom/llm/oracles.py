@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from ledgerloom.llm.mixing import MOST_REPEATS, SHARE, WEIGHTS
 from ledgerloom.llm.quality_rules import RULES, STOP_WORDS
+from ledgerloom.llm.sharding import MULTIPLIER, ROWS_PER_SLICE
 
 _BLANK = r"[\x20\x09-\x0D]"
 
@@ -127,4 +128,46 @@ FROM docs d JOIN budgets b ON d.source IS NOT DISTINCT FROM b.source
 LEFT JOIN edges e ON d.source IS NOT DISTINCT FROM e.source
 """
 
-ORACLES = {"op1_quality_rules": OP1, "op8_mixing": OP8}
+# The checksum walks over the bytes of each text with the table of the CRC-32 polynomial.
+OP2 = f"""
+WITH RECURSIVE entry(i, c, k) AS (
+    SELECT i, i::BIGINT, 0 FROM range(256) r(i)
+    UNION ALL
+    SELECT i, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM entry WHERE k < 8
+),
+crc_table AS (SELECT list(c ORDER BY i) AS entries FROM entry WHERE k = 8),
+docs AS (
+    SELECT row_number() OVER () AS n, doc_id, strlen(coalesce(text, '')) + 1 AS size,
+           string_split(hex(coalesce(text, '')), '') AS h
+    FROM documents
+),
+sums AS (
+    SELECT n, doc_id, size, xor(list_reduce(
+               list_prepend(4294967295::BIGINT, list_transform(range(size - 1), lambda i: (
+                   (instr('0123456789ABCDEF', h[2 * i + 1]) - 1) * 16
+                   + instr('0123456789ABCDEF', h[2 * i + 2]) - 1)::BIGINT)),
+               lambda c, b: xor(c >> 8, entries[(xor(c, b) & 255) + 1])), 4294967295) AS text_crc32
+    FROM docs, crc_table
+),
+jump(n, state, place, shard, grown) AS (
+    SELECT n, (coalesce(doc_id, text_crc32)::HUGEINT + {2**64}) % {2**64}, 0::BIGINT, 0::BIGINT, 0::BIGINT FROM sums
+    UNION ALL
+    SELECT n, following,
+           floor((place + 1)::DOUBLE * (2147483648::DOUBLE / (following // {2**33} + 1)::DOUBLE))::BIGINT,
+           CASE WHEN place < 8 THEN place ELSE shard END, place
+    FROM (SELECT *, (state * {MULTIPLIER}::HUGEINT + 1) % {2**64} AS following FROM jump WHERE place < 9)
+),
+placed AS (SELECT n, shard, grown FROM jump WHERE place >= 9),
+sliced AS (
+    SELECT sums.*, shard, grown,
+           ('0x' || substr(md5(coalesce(doc_id, text_crc32)::VARCHAR), 1, 8))::BIGINT
+               % greatest(1, ceil(count(*) OVER () / {ROWS_PER_SLICE * 8}.0))::BIGINT AS slice
+    FROM sums JOIN placed USING (n)
+)
+SELECT doc_id, size::BIGINT AS size, text_crc32, 'key' AS law, shard::INTEGER AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY slice, doc_id NULLS FIRST, text_crc32, size) - 1 AS slot,
+       grown::INTEGER AS grown_shard
+FROM sliced
+"""
+
+ORACLES = {"op1_quality_rules": OP1, "op2_jump_sharding": OP2, "op8_mixing": OP8}
