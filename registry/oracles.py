@@ -42,7 +42,7 @@ ORACLES = {
     """,
     "top1_category_spend": """
         SELECT p_type AS category,
-               CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total_amount
+               CAST(sum(CAST(l_extendedprice AS DECIMAL(38,4))) AS DOUBLE) AS total_amount
         FROM lineitem
         JOIN orders ON l_orderkey = o_orderkey
         JOIN part ON l_partkey = p_partkey
@@ -110,7 +110,7 @@ ORACLES = {
     """,
     "loyalty_metrics": """
         SELECT c_custkey, c_name, c_mktsegment,
-               CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_sales,
+               CAST(sum(CAST(o_totalprice AS DECIMAL(38,4))) AS DOUBLE) AS total_sales,
                array_to_string(list_sort(list(DISTINCT o_orderpriority)), '|')
                    AS order_priorities
         FROM customer JOIN orders ON c_custkey = o_custkey

@@ -35,9 +35,9 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
-def cents(name: str) -> Column:
-    """Money given as floating-point, in whole cents, so that sums are exact in any row order."""
-    return F.rint(F.col(name) * 100).cast("bigint")
+def money(name: str) -> Column:
+    """Money given as floating-point, in the declared type, so that sums are exact in any order."""
+    return F.col(name).cast("decimal(38,4)")
 
 
 def instant(text: str) -> Column:
@@ -75,7 +75,7 @@ def top_k_bridge(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def top1_category_spend(spark: SparkSession, folder: str) -> DataFrame:
     lines = read(spark, folder, "lineitem").select(
-        "l_orderkey", "l_partkey", cents("l_extendedprice").alias("total_amount")
+        "l_orderkey", "l_partkey", money("l_extendedprice").alias("total_amount")
     )
     orders_ = read(spark, folder, "orders").select("o_orderkey")
     per_part = (
@@ -86,7 +86,7 @@ def top1_category_spend(spark: SparkSession, folder: str) -> DataFrame:
     parts = read(spark, folder, "part").select("p_partkey", "p_type")
     per_type = roll_up(per_part, parts, "p_partkey", "p_type", ["total_amount"])
     return ranking.top_k(per_type, "total_amount", 1, ["p_type"]).select(
-        F.col("p_type").alias("category"), (F.col("total_amount") / 100).alias("total_amount")
+        F.col("p_type").alias("category"), F.col("total_amount").cast("double").alias("total_amount")
     )
 
 
@@ -228,7 +228,7 @@ def loyalty_metrics(spark: SparkSession, folder: str) -> DataFrame:
     members = read(spark, folder, "customer").select("c_custkey", "c_name", "c_mktsegment")
     placed = read(spark, folder, "orders").select(
         F.col("o_custkey").alias("c_custkey"),
-        cents("o_totalprice").alias("order_total"),
+        money("o_totalprice").alias("order_total"),
         "o_orderpriority",
     )
     metrics = orders.member_metrics(
@@ -236,7 +236,7 @@ def loyalty_metrics(spark: SparkSession, folder: str) -> DataFrame:
     )
     return metrics.select(
         *members.columns,
-        (F.col("total") / 100).alias("total_sales"),
+        F.col("total").cast("double").alias("total_sales"),
         F.array_join("visited", "|").alias("order_priorities"),
     )
 
