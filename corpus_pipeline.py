@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.llm import decontamination, mixing, ngram_join, quality_rules, sharding
+from ledgerloom.llm.shipping import ship
 from ledgerloom.llm.stored import stored
 
 SHARDS = 8
@@ -50,6 +51,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents table; each result is written and read by the next."""
+    ship(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))

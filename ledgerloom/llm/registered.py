@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -19,6 +20,7 @@ from ledgerloom.llm import (
     token_files,
     toxicity,
 )
+from ledgerloom.llm.shipping import ship
 from ledgerloom.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,8 +28,13 @@ ORACLES: dict[str, str] = dict(oracles.ORACLES)
 
 
 def query(function):
-    QUERIES[function.__name__] = function
-    return function
+    @wraps(function)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        ship(spark)
+        return function(spark, folder)
+
+    QUERIES[function.__name__] = run
+    return run
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
