@@ -33,6 +33,8 @@ TRAIN_ROWS = 4000
 ROOT_SIZES = (3, 4, 5, 6, 7, 8)
 # Roots are taken in turns, the surest first; what a turn leaves uncovered is open to the next.
 PRECISIONS, MIN_SUPPORT = (0.95, 0.85, 0.7), 3
+# A root must be in one of so many toxic documents.
+SUPPORT_PART = 400
 # A word in so many labelled documents of which few are toxic is no insult, whatever its root.
 BENIGN_DOCUMENTS, BENIGN_SHARE = 3, 0.3
 NO_MATCH = 0.01
@@ -189,9 +191,10 @@ def labelled(docs: DataFrame, labels: DataFrame, rows: int, id_col="doc_id", tex
         return docs.select(F.col(text_col).alias("text"), F.lit(0).alias("toxic")).limit(0)
     limits = F.create_map(*(F.lit(v) for k, n in counts.items() for v in (k, int(min(1, rows / n) * 10**6))))
     some = marks.filter(F.pmod(F.xxhash64("id", F.lit("toxic")), F.lit(10**6)) < limits[F.col("toxic")])
+    # The chosen ids are about ``rows`` for each label, however many documents there are.
     return (
         docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-        .join(some, "id")
+        .join(F.broadcast(some), "id")
         .select("text", "toxic")
     )
 
@@ -237,7 +240,7 @@ def learn(sample: DataFrame) -> Grammar:
     ]
     parts = words.select("doc", "toxic", F.explode(F.array(*ends)).alias("root")).filter("root is not null").distinct()
     n_toxic = sample.filter("toxic = 1").count()
-    support = max(MIN_SUPPORT, n_toxic // 1000)
+    support = max(MIN_SUPPORT, n_toxic // SUPPORT_PART)
     sure = (
         parts.groupBy("root")
         .agg(F.sum("toxic").alias("toxic"), F.count("*").alias("docs"))
