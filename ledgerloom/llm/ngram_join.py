@@ -194,10 +194,9 @@ def _compare(threshold: float):
             np.add.at(total, found[:, 1], count[found[:, 0]])
             touched = np.flatnonzero(total)
             # Members in the order of their keys, so that the root of a tree is its least key.
-            rank = np.argsort(np.argsort(np.array([copies[i] for i in range(len(copies))], dtype="S16")))
-            parent = np.arange(len(copies))
-            order = np.argsort(rank)
-            place, i, j = parent.copy(), rank[found[:, 0]], rank[found[:, 1]]
+            order = np.array(sorted(range(len(copies)), key=copies.__getitem__))
+            rank = np.argsort(order)
+            place, i, j = np.arange(len(copies)), rank[found[:, 0]], rank[found[:, 1]]
             while True:
                 least = place.copy()
                 np.minimum.at(least, i, place[j])
