@@ -176,23 +176,43 @@ def _common(a: np.ndarray, b: np.ndarray) -> int:
     return int(row[-1])
 
 
-def aligned(a: np.ndarray, b: np.ndarray, chain: list[tuple[int, int]]):
-    """``(a from, a to, b from, b to, equal words)`` of the passage around a chain of positions."""
-    (i, j), equal = chain[0], 0
-    left = _extended(a[:i][::-1], b[:j][::-1])
-    begin = i - left[0], j - left[1]
-    equal += left[2]
+def aligned(a: np.ndarray, b: np.ndarray, chain: list[tuple[int, int]], min_words: int, identity: float):
+    """``(a from, a to, b from, b to, equal words)`` of each passage along a chain of positions.
+
+    The whole chain is one passage if enough of its words are equal. If not, it is cut where the most
+    words are unlike, and each part is looked at in the same way.
+    """
+    seeds, gains, losses = [], [], []
     for x, y in chain:
-        if x > i and y > j:
-            equal += _common(a[i:x], b[j:y])
-            i, j = x, y
+        i, j = (seeds[-1][0] + SEED, seeds[-1][1] + SEED) if seeds else (x, y)
         # A seed that overlaps the one before it on another diagonal adds what it has beyond.
-        over = max(i - x, j - y)
+        over = max(i - x, j - y, 0)
         if over < SEED:
-            equal += SEED - over
-            i, j = x + SEED, y + SEED
-    right = _extended(a[i:], b[j:])
-    return begin[0], i + right[0], begin[1], j + right[1], equal + right[2]
+            gain = SEED - over + (_common(a[i:x], b[j:y]) if x > i and y > j else 0)
+            seeds.append((x, y))
+            gains.append(gain)
+            losses.append(max(x + SEED - i, y + SEED - j) - gain)
+    total, out, open_ = np.concatenate(([0], np.cumsum(gains))), [], [(0, len(seeds))]
+    while open_:
+        first, last = open_.pop()
+        # A part does not reach into the seeds of its neighbours.
+        i0, j0 = (seeds[first - 1][0] + SEED, seeds[first - 1][1] + SEED) if first else (0, 0)
+        i1, j1 = seeds[last] if last < len(seeds) else (len(a), len(b))
+        if i1 - i0 < min_words:
+            continue
+        (x, y), (u, v) = seeds[first], seeds[last - 1]
+        left = _extended(a[i0 : max(x, i0)][::-1], b[j0 : max(y, j0)][::-1])
+        right = _extended(a[u + SEED : max(i1, u + SEED)], b[v + SEED : max(j1, v + SEED)])
+        a0, a1, b0, b1 = x - left[0], u + SEED + right[0], y - left[1], v + SEED + right[1]
+        equal = left[2] + SEED + int(total[last] - total[first + 1]) + right[2]
+        if a1 - a0 < min_words:
+            continue
+        if equal >= identity * max(a1 - a0, b1 - b0) - 1e-9:
+            out.append((a0, a1, b0, b1, equal))
+        elif last - first > 1:
+            cut = first + 1 + int(np.argmax(losses[first + 1 : last]))
+            open_ += [(first, cut), (cut, last)]
+    return out
 
 
 def _seeds(docs: DataFrame) -> DataFrame:
@@ -354,8 +374,7 @@ def repeated_passages(
                 ] if len(a) and len(b) else []
                 if not seeds:
                     continue
-                a0, a1, b0, b1, equal = aligned(a, b, seeds)
-                if a1 - a0 >= min_words and equal >= identity * max(a1 - a0, b1 - b0) - 1e-9:
+                for a0, a1, b0, b1, equal in aligned(a, b, seeds, min_words, identity):
                     out.append(
                         (row["doc"], a0 + low, a1 + low, row["anchor"], b0 + there, b1 + there, equal,
                          equal / max(a1 - a0, b1 - b0))

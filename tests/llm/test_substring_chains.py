@@ -113,3 +113,18 @@ def test_odd_rows(spark, tmp_path):
     assert ({(1004, 3), (1005, 3)} <= got) == long_enough
     assert s.repeated_passages(frame(spark, [])).count() == 0
     assert registered.QUERIES["op4_substring_chains"](spark, saved(frame(spark, rows), tmp_path)).count() == len(got)
+
+
+def fresh(rng, count):
+    return [f"n{rng.randrange(10**9)}" for _ in range(count)]
+
+
+def spans(got, doc_id):
+    return sorted((r.start_word, r.end_word, r.partner_id) for r in got if r.doc_id == doc_id)
+
+
+def test_passages_around_unlike_text_are_both_found(spark):
+    rng = random.Random(11)
+    header, footer = fresh(rng, 60), fresh(rng, 60)
+    rows = [(i, " ".join(header + fresh(rng, 150) + footer), "en", "s", 1) for i in (1, 2)]
+    assert spans(s.repeated_passages(frame(spark, rows)).collect(), 2) == [(0, 60, 1), (210, 270, 1)]
