@@ -27,7 +27,7 @@ from ledgerloom.llm.stored import stored
 from ledgerloom.llm.wordhash import Words, mixed, pieces, texts_of
 
 MIN_WORDS, IDENTITY = 50, 0.8
-SEED, WINDOW, EVERY = 6, 16, 32
+SEED, WINDOW = 6, 16
 GAP_COST = 0.05
 MARGIN, RANGE = 40, 64
 DROP, BRIDGE, AGREE = 8, 4, 3
@@ -37,8 +37,8 @@ _U = np.uint64
 def minimizers(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Text, word position and hash of each seed.
 
-    Of equal hashes in a text the first counts, and each ``EVERY`` after it as another seed: a word
-    or line over and over still has two seeds in ``min_words``, and no text has many alike.
+    Equal hashes closer than ``WINDOW`` words to each other are a run, such as a word over and over;
+    of a run the first counts and then one in about ``WINDOW`` words. All others count.
     """
     counts = words.counts()
     windows = np.maximum(counts - SEED + 1, 0)
@@ -58,11 +58,20 @@ def minimizers(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     order = picked[np.lexsort((place[picked], hashes[picked], owner[picked]))]
     new = np.ones(len(order), dtype=bool)
     new[1:] = (hashes[order][1:] != hashes[order][:-1]) | (owner[order][1:] != owner[order][:-1])
+    new[1:] |= np.diff(place[order]) >= WINDOW
     begins = np.flatnonzero(new)
-    times = np.arange(len(order)) - np.repeat(begins, np.diff(np.append(begins, len(order))))
-    kept = order[times % EVERY == 0]
-    turn = (times[times % EVERY == 0] // EVERY).astype(_U)
-    return owner[kept], place[kept], np.where(turn > 0, mixed(hashes[kept] + turn), hashes[kept])
+    steps = (place[order] - np.repeat(place[order][begins], np.diff(np.append(begins, len(order))))) // WINDOW
+    new[1:] |= steps[1:] != steps[:-1]
+    kept = order[new]
+    return owner[kept], place[kept], hashes[kept]
+
+
+def _turns(owner: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """How often each seed of ``minimizers`` has come before in its text."""
+    new = np.ones(len(owner), dtype=bool)
+    new[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
+    begins = np.flatnonzero(new)
+    return np.arange(len(owner)) - np.repeat(begins, np.diff(np.append(begins, len(owner))))
 
 
 def _sliding(values: np.ndarray, owner: np.ndarray, pick) -> np.ndarray:
@@ -224,15 +233,16 @@ def _seeds(docs: DataFrame) -> DataFrame:
                     batch.column(0).take(pa.array(owner)),
                     pa.array(hashes.view(np.int64)),
                     pa.array(place, pa.int32()),
+                    pa.array(_turns(owner, hashes), pa.int32()),
                 ],
-                ["doc", "seed", "at"],
+                ["doc", "seed", "at", "turn"],
             )
 
-    return docs.mapInArrow(seed, "doc long, seed long, at int")
+    return docs.mapInArrow(seed, "doc long, seed long, at int, turn int")
 
 
-def _matches(docs: DataFrame) -> DataFrame:
-    """``doc, at, anchor, anchor_at`` of every seed that several documents have."""
+def _shared(docs: DataFrame) -> DataFrame:
+    """``seed, doc, at, turn, anchor`` of every seed that several documents have."""
     found = _seeds(docs)
     shared = (
         found.groupBy("seed")
@@ -240,9 +250,18 @@ def _matches(docs: DataFrame) -> DataFrame:
         .filter("anchor < last")
         .select("seed", "anchor")
     )
-    kept = stored(found.join(shared, "seed"), "chain-seeds")
-    anchors = kept.filter("doc = anchor").groupBy("seed").agg(F.min("at").alias("anchor_at"))
-    return kept.filter("doc <> anchor").join(anchors, "seed").select("doc", "at", "anchor", "anchor_at")
+    return stored(found.join(shared, "seed"), "chain-seeds")
+
+
+def _matches(kept: DataFrame) -> DataFrame:
+    """``doc, at, anchor, anchor_at``: each seed with the first of its anchor and with that of its turn."""
+    anchors = (
+        kept.filter("doc = anchor").groupBy("seed", "turn").agg(F.min("at").alias("anchor_at"))
+    )
+    theirs = kept.filter("doc <> anchor").withColumn(
+        "turn", F.explode(F.array_distinct(F.array(F.lit(0), F.col("turn"))))
+    )
+    return theirs.join(anchors, ["seed", "turn"]).select("doc", "at", "anchor", "anchor_at")
 
 
 def _chained(matches: DataFrame) -> DataFrame:
@@ -345,8 +364,9 @@ def repeated_passages(
     least ``identity`` of the longer side.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).filter("doc is not null")
+    kept = _shared(rows)
     chained = stored(
-        _chained(_matches(rows)).select(
+        _chained(_matches(kept)).select(
             "*", *_range("at", ""), *_range("anchor_at", "anchor_"), F.monotonically_increasing_id().alias("chain")
         ),
         "chain-chains",

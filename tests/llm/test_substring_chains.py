@@ -128,3 +128,14 @@ def test_passages_around_unlike_text_are_both_found(spark):
     header, footer = fresh(rng, 60), fresh(rng, 60)
     rows = [(i, " ".join(header + fresh(rng, 150) + footer), "en", "s", 1) for i in (1, 2)]
     assert spans(s.repeated_passages(frame(spark, rows)).collect(), 2) == [(0, 60, 1), (210, 270, 1)]
+
+
+def test_each_repeat_within_a_document_is_found(spark):
+    rng = random.Random(12)
+    passage = fresh(rng, 70)
+    rows = [
+        (1, " ".join(fresh(rng, 20) + passage + fresh(rng, 20)), "en", "s", 1),
+        (2, " ".join(passage + fresh(rng, 90) + passage + fresh(rng, 90) + passage), "en", "s", 1),
+    ]
+    got = s.repeated_passages(frame(spark, rows)).collect()
+    assert spans(got, 2) == [(0, 70, 1), (160, 230, 1), (320, 390, 1)]
