@@ -7,6 +7,10 @@ seeds, not with the pairs of documents. The matches of a document with one ancho
 order, with gap costs, by a Fenwick tree; the words around a chain are then aligned, which bridges
 changed words and finds where the passage begins and ends.
 
+Where shared seeds lie in no passage found so far, every window of ``min_words`` words is matched
+with the least document that has the whole window, so each window that an earlier document has is
+in a passage, whoever has parts of it.
+
 The documents that a chain needs are read once more, and only the words near chains are kept; ranges
 are rounded to ``RANGE`` words, so an anchor that many documents match is cut into few of them.
 
@@ -30,6 +34,9 @@ MIN_WORDS, IDENTITY = 50, 0.8
 SEED, WINDOW = 6, 16
 GAP_COST = 0.05
 MARGIN, RANGE = 40, 64
+# Kept seeds of a shared stretch are never farther apart.
+REACH = 2 * WINDOW
+NEAR = 512
 DROP, BRIDGE, AGREE = 8, 4, 3
 _U = np.uint64
 
@@ -299,9 +306,174 @@ def _chained(matches: DataFrame) -> DataFrame:
     )
 
 
-def _range(at: str, prefix: str) -> list:
-    low = F.greatest(F.lit(0), F.get(at, F.lit(0)) - MARGIN)
-    high = F.element_at(at, -1) + SEED + MARGIN
+def _left(kept: DataFrame, passages: DataFrame, min_words: int) -> DataFrame:
+    """The seeds that stand in stretches of shared seeds which no passage covers yet."""
+    rows = (
+        kept.filter("doc <> anchor")
+        .select("doc", "seed", "at", F.lit(-1).alias("stop"))
+        .unionByName(passages.select("doc", F.lit(0).cast("long").alias("seed"), F.col("low").alias("at"), "stop"))
+    )
+
+    def uncovered(batches):
+        for group in runs(batches, ["doc"]):
+            seeds, at, stop = (group[c].to_numpy() for c in ("seed", "at", "stop"))
+            mine = stop < 0
+            some = np.sort(at[mine])
+            open_ = np.zeros(len(some), dtype=bool)
+            covered = list(zip(at[~mine].tolist(), stop[~mine].tolist()))
+            for low, high in _stretches(some, min_words):
+                for begin, end in _gaps(low, high - min_words + 1, covered, min_words):
+                    first, last = np.searchsorted(some, [begin - REACH, end + min_words + REACH])
+                    open_[first:last] = True
+            if open_.any():
+                wanted = np.unique(seeds[mine][np.isin(at[mine], some[open_])])
+                yield pa.RecordBatch.from_arrays([pa.array(wanted, pa.int64())], ["seed"])
+
+    return (
+        rows.repartition("doc").sortWithinPartitions("doc").mapInArrow(uncovered, "seed long").distinct()
+    )
+
+
+def _stretches(at: np.ndarray, min_words: int) -> list[tuple[int, int]]:
+    """Where windows of ``min_words`` may be shared, given the sorted positions of shared seeds."""
+    if not len(at):
+        return []
+    cuts = np.flatnonzero(np.diff(at) > REACH) + 1
+    ends = np.append(cuts, len(at)) - 1
+    lows = np.maximum(at[np.concatenate(([0], cuts))] - REACH, 0)
+    return [
+        (low, high)
+        for low, high in zip(lows.tolist(), (at[ends] + SEED + REACH).tolist())
+        if high - low >= min_words
+    ]
+
+
+def _gaps(low: int, high: int, covered: list[tuple[int, int]], min_words: int) -> list[tuple[int, int]]:
+    """The ranges of window positions from ``low`` up to ``high`` that lie in no covered span."""
+    out = []
+    for begin, end in sorted(covered):
+        if end - min_words + 1 <= low or begin >= high or end - begin < min_words:
+            continue
+        if begin > low:
+            out.append((low, begin))
+        low = max(low, end - min_words + 1)
+    return out + [(low, high)] if low < high else out
+
+
+def _windows(docs: DataFrame, kept: DataFrame, passages: DataFrame, min_words: int) -> DataFrame:
+    """``doc, window, at, open`` of each window of ``min_words`` in what passages leave, in all documents.
+
+    Open windows lie in no passage; the others may still be what an open one is like.
+    """
+    wanted = (
+        kept.join(_left(kept, passages, min_words), "seed", "left_semi")
+        .groupBy("doc")
+        .agg(F.collect_set("at").alias("places"))
+    )
+    spans = passages.groupBy("doc").agg(F.collect_list(F.struct("low", "stop")).alias("spans"))
+
+    def windows(batches):
+        for batch in pieces(batches):
+            hashes, first = Words(texts_of(batch)).grams(min_words)
+            ids, places, spans = (batch.column(i).to_pylist() for i in (0, 2, 3))
+            out = []
+            for i, (doc, some) in enumerate(zip(ids, places)):
+                covered = [(r["low"], r["stop"]) for r in spans[i] or []]
+                size = int(first[i + 1] - first[i])
+                for low, high in _stretches(np.sort(np.array(some)), min_words):
+                    at = np.arange(low, min(high - min_words + 1, size))
+                    open_ = np.zeros(len(at), dtype=bool)
+                    for begin, end in _gaps(low, low + len(at), covered, min_words):
+                        open_[begin - low : end - low] = True
+                    out.append((np.full(len(at), doc), hashes[first[i] + at].view(np.int64), at, open_))
+            if out:
+                doc, window, at, open_ = (np.concatenate(column) for column in zip(*out))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(doc, pa.int64()), pa.array(window), pa.array(at, pa.int32()), pa.array(open_)],
+                    ["doc", "window", "at", "open"],
+                )
+
+    return (
+        docs.join(wanted, "doc")
+        .join(spans, "doc", "left")
+        .select("doc", "text", "places", "spans")
+        .mapInArrow(windows, "doc long, window long, at int, open boolean")
+    )
+
+
+def _window_matches(windows: DataFrame) -> DataFrame:
+    """``doc, at, anchor, anchor_at`` of open windows; the anchor is the least document with the window."""
+    shared = (
+        windows.groupBy("window")
+        .agg(F.min("doc").alias("anchor"), F.max(F.when(F.col("open"), F.col("doc"))).alias("last"))
+        .filter("anchor < last")
+        .select("window", "anchor")
+    )
+    both = stored(
+        windows.join(shared, "window").filter("open or doc = anchor"), "chain-window-matches"
+    )
+    anchors = both.filter("doc = anchor").groupBy("window").agg(F.min("at").alias("anchor_at"))
+    return both.filter("doc <> anchor").join(anchors, "window").select("doc", "at", "anchor", "anchor_at")
+
+
+def _lined(matches: DataFrame) -> DataFrame:
+    """One row per row of matches that lie close in both texts: where each diagonal run of them begins and ends."""
+
+    def line(batches):
+        for group in runs(batches, ["doc"]):
+            anchors, at, there = (group[c].to_numpy().astype(np.int64) for c in ("anchor", "at", "anchor_at"))
+            order = np.lexsort((there, at, anchors))
+            anchors, at, there = anchors[order], at[order], there[order]
+            begins = np.ones(len(at) + 1, dtype=bool)
+            begins[1:-1] = (anchors[1:] != anchors[:-1]) | (np.diff(at) != 1) | (np.diff(there) != 1)
+            # Both ends of a run on a diagonal stay, and stay together.
+            kept = begins[:-1] | begins[1:]
+            anchors, at, there, begins = anchors[kept], at[kept], there[kept], begins[:-1][kept]
+            far = (anchors[1:] != anchors[:-1]) | (np.diff(at) > NEAR) | (np.abs(np.diff(there)) > NEAR)
+            cuts = np.flatnonzero(begins[1:] & far) + 1
+            parts = [(anchors[p[0]], at[p], there[p]) for p in np.split(np.arange(len(at)), cuts)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([group["doc"][0].as_py()] * len(parts), pa.int64()),
+                    pa.array([int(p[0]) for p in parts], pa.int64()),
+                    pa.array([p[1] for p in parts], pa.list_(pa.int32())),
+                    pa.array([p[2] for p in parts], pa.list_(pa.int32())),
+                ],
+                ["doc", "anchor", "at", "anchor_at"],
+            )
+
+    return (
+        matches.distinct()
+        .repartition("doc")
+        .sortWithinPartitions("doc")
+        .mapInArrow(line, "doc long, anchor long, at array<int>, anchor_at array<int>")
+    )
+
+
+def around_windows(a: np.ndarray, b: np.ndarray, places: list[tuple[int, int]], min_words: int, identity: float):
+    """Passages as of ``aligned`` that hold every window which is equal at one of the places."""
+    out, done = [], -1
+    for x, y in places:
+        n = min(len(a) - x, len(b) - y)
+        if n < min_words:
+            continue
+        other = np.flatnonzero(a[x : x + n] != b[y : y + n])
+        size = int(other[0]) if len(other) else n
+        if size < min_words or x + size <= done:
+            continue
+        left, right = _extended(a[:x][::-1], b[:y][::-1]), _extended(a[x + size :], b[y + size :])
+        a0, a1, b0, b1 = x - left[0], x + size + right[0], y - left[1], y + size + right[1]
+        equal = left[2] + size + right[2]
+        if equal < identity * max(a1 - a0, b1 - b0) - 1e-9:
+            a0, a1, b0, b1, equal = x, x + size, y, y + size, size
+        out.append((a0, a1, b0, b1, equal))
+        done = max(done, a1)
+    return out
+
+
+def _range(at: str, prefix: str, size: int) -> list:
+    low = F.greatest(F.lit(0), F.array_min(at) - MARGIN)
+    high = F.array_max(at) + size + MARGIN
     return [
         (F.floor(low / RANGE) * RANGE).cast("int").alias(prefix + "low"),
         (F.ceil(high / RANGE) * RANGE).cast("int").alias(prefix + "high"),
@@ -365,12 +537,22 @@ def repeated_passages(
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).filter("doc is not null")
     kept = _shared(rows)
-    chained = stored(
-        _chained(_matches(kept)).select(
-            "*", *_range("at", ""), *_range("anchor_at", "anchor_"), F.monotonically_increasing_id().alias("chain")
-        ),
-        "chain-chains",
-    )
+    chained = stored(_ranged(_chained(_matches(kept)), SEED), "chain-chains")
+    found = stored(_passages(rows, chained, False, min_words, identity), "chain-passages")
+    # What chains leave is matched anew by whole windows, each with the least document that has it.
+    spans = found.select("doc", F.col("start_word").cast("int").alias("low"), F.col("end_word").cast("int").alias("stop"))
+    windows = stored(_windows(rows, kept, spans, min_words), "chain-windows")
+    lined = stored(_ranged(_lined(_window_matches(windows)), min_words + RANGE), "chain-lined")
+    more = _passages(rows, lined, True, min_words, identity)
+    return found.unionByName(more).distinct().withColumnRenamed("doc", id_col)
+
+
+def _ranged(matched: DataFrame, size: int) -> DataFrame:
+    return matched.select("*", *_range("at", "", size), *_range("anchor_at", "anchor_", size))
+
+
+def _passages(rows: DataFrame, chained: DataFrame, whole: bool, min_words: int, identity: float) -> DataFrame:
+    """The passages along chains of seeds or, if ``whole``, around equal windows."""
     near = stored(_words_near(rows, chained), "chain-words")
     theirs = near.select(
         F.col("doc").alias("anchor"),
@@ -387,14 +569,17 @@ def repeated_passages(
                 a = np.frombuffer(row["words"], dtype=np.uint32)
                 b = np.frombuffer(row["anchor_words"], dtype=np.uint32)
                 low, there = row["low"], row["anchor_low"]
-                seeds = [
-                    (x - low, y - there)
-                    for x, y in zip(row["at"], row["anchor_at"])
-                    if (a[x - low : x - low + SEED] == b[y - there : y - there + SEED]).all()
-                ] if len(a) and len(b) else []
-                if not seeds:
-                    continue
-                for a0, a1, b0, b1, equal in aligned(a, b, seeds, min_words, identity):
+                places = [(x - low, y - there) for x, y in zip(row["at"], row["anchor_at"])]
+                if whole:
+                    some = around_windows(a, b, places, min_words, identity)
+                else:
+                    seeds = [
+                        (x, y)
+                        for x, y in places
+                        if len(a) and len(b) and (a[x : x + SEED] == b[y : y + SEED]).all()
+                    ]
+                    some = aligned(a, b, seeds, min_words, identity) if seeds else []
+                for a0, a1, b0, b1, equal in some:
                     out.append(
                         (row["doc"], a0 + low, a1 + low, row["anchor"], b0 + there, b1 + there, equal,
                          equal / max(a1 - a0, b1 - b0))
@@ -402,14 +587,14 @@ def repeated_passages(
             if out:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(v, pa.float64() if i == 7 else pa.int64()) for i, v in enumerate(zip(*out))],
-                    [id_col, *NAMES],
+                    ["doc", *NAMES],
                 )
 
     NAMES = ["start_word", "end_word", "partner_id", "partner_start", "partner_end", "matched", "identity"]
     kinds = ", ".join(f"{name} long" for name in NAMES[:-1])
     return both.select(
         "doc", "low", "at", "words", "anchor", "anchor_low", "anchor_at", "anchor_words"
-    ).mapInArrow(align, f"`{id_col}` long, {kinds}, identity double").distinct()
+    ).mapInArrow(align, f"doc long, {kinds}, identity double").distinct()
 
 
 def without_passages(

@@ -139,3 +139,29 @@ def test_each_repeat_within_a_document_is_found(spark):
     ]
     got = s.repeated_passages(frame(spark, rows)).collect()
     assert spans(got, 2) == [(0, 70, 1), (160, 230, 1), (320, 390, 1)]
+
+
+def test_passage_whose_parts_earlier_documents_have(spark):
+    rng = random.Random(13)
+    passage = fresh(rng, 60)
+    texts = {1: passage[:40], 2: passage[20:], 7: passage, 10: passage}
+    rows = [(i, " ".join(fresh(rng, 80) + own + fresh(rng, 80)), "en", "s", 1) for i, own in texts.items()]
+    # A phrase of the passage that the anchor also has before it.
+    rows += [(20, " ".join(passage[:30] + fresh(rng, 90) + passage), "en", "s", 1)]
+    got = s.repeated_passages(frame(spark, rows)).collect()
+    assert spans(got, 10) == [(80, 140, 7)] and spans(got, 20) == [(120, 180, 7)] and len(got) == 2
+
+
+def test_windows_in_runs_are_covered(spark):
+    rng = random.Random(14)
+    lines = [" ".join(fresh(rng, k)) for k in (1, 3, 20)]
+    texts = [" ".join(fresh(rng, 9) + [one] * n + fresh(rng, 30) + [two] * m) for one in lines for two in lines for n, m in ((90, 60), (70, 130))]
+    rows = [(i, text, "en", "s", 1) for i, text in enumerate(texts)]
+    got = s.repeated_passages(frame(spark, rows)).collect()
+    windows = repeated_windows(rows)
+    assert windows
+    missed = [
+        (doc, at) for doc, at in windows
+        if not any(r.doc_id == doc and r.start_word <= at and at + 50 <= r.end_word for r in got)
+    ]
+    assert not missed
