@@ -4,8 +4,8 @@ Texts are measured by their shares of hashed letter n-grams. One-versus-one line
 machines tell families apart, and others tell apart the languages of one family; the winner of a
 step is the class that wins the most duels, then the one with the larger margins.
 
-The machines are fitted on at most about ``TRAIN_ROWS`` labelled rows, the same number for each
-language, picked by a hash. Scoring reads every text whole.
+The machines are fitted on at most about ``TRAIN_ROWS`` different labelled texts, the same number
+for each language, picked by a hash. Scoring reads every text whole.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0, and so is all if
 nothing could be learned. With one language learned it is the answer for every text with a letter.
@@ -15,6 +15,7 @@ A language that ``FAMILIES`` does not list is a family of its own. Extra columns
 from __future__ import annotations
 
 import re
+from fractions import Fraction
 from itertools import combinations
 
 import numpy as np
@@ -151,30 +152,53 @@ class Model:
         return out
 
 
+def hash_limit(wanted: int, among: int) -> int:
+    """The greatest 63-bit hash that is taken when about ``wanted`` of ``among`` are; never below zero."""
+    return min(1, Fraction(wanted, among)) * (2**63 - 1) // 1
+
+
 def fit(rows: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
-    """A model of ``text, lang``, from rows whose hash is below a share for each language."""
-    rows = rows.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}
-    each = max(20, train_rows // max(1, len(counts)))
-    limits = F.create_map(*(F.lit(v) for lang, n in counts.items() for v in (lang, int(min(1, each / n) * 10**6))))
+    """A model of ``text, lang``, from texts whose hash is below a share for each language.
+
+    A text counts once in a language, however many rows have it.
+    """
+    rows = rows.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
+        "text", "lang", F.xxhash64("text", F.lit("language")).alias("hash")
+    )
+    different = rows.select("lang", "hash").distinct()
+    counts = {r.lang: r["count"] for r in different.groupBy("lang").count().collect()}
     if not counts:
         return Model(np.zeros((0, BUCKETS), dtype=np.float32), [])
-    some = rows.filter(F.pmod(F.xxhash64("text", F.lit("language")), F.lit(10**6)) < limits[F.col("lang")])
+    each = max(20, train_rows // len(counts))
+    limits = F.create_map(*(F.lit(v) for lang, n in counts.items() for v in (lang, hash_limit(each, n))))
+    some = rows.filter(F.shiftrightunsigned("hash", 1) <= limits[F.col("lang")])
 
     def measure(batches):
+        seen = set()
         for batch in pieces(batches):
+            keys = list(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()))
+            new = [i for i, key in enumerate(keys) if not (key in seen or seen.add(key))]
+            batch = batch.take(pa.array(new, pa.int64()))
             shares = _shares(texts_of(batch))
             places = [np.flatnonzero(row).astype(np.int32) for row in shares]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(1),
+                    batch.column(2),
                     pa.array([p.tobytes() for p in places], pa.binary()),
                     pa.array([row[p].tobytes() for row, p in zip(shares, places)], pa.binary()),
                 ],
-                ["lang", "places", "shares"],
+                ["lang", "hash", "places", "shares"],
             )
 
-    found = some.select("text", "lang").mapInArrow(measure, "lang string, places binary, shares binary").collect()
+    found = (
+        some.mapInArrow(measure, "lang string, hash long, places binary, shares binary")
+        .dropDuplicates(["lang", "hash"])
+        .collect()
+    )
+    missing = set(counts) - {row.lang for row in found}
+    if missing:
+        raise ValueError(f"no training text was drawn for {sorted(missing)}")
     found.sort(key=lambda r: (r.lang, bytes(r.shares)))
     shares = np.zeros((len(found), BUCKETS), dtype=np.float32)
     for i, row in enumerate(found):

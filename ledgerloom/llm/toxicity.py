@@ -26,6 +26,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from ledgerloom.llm.language_id import hash_limit
 from ledgerloom.llm.stored import stored
 from ledgerloom.llm.wordhash import pieces, texts_of
 
@@ -189,8 +190,8 @@ def labelled(docs: DataFrame, labels: DataFrame, rows: int, id_col="doc_id", tex
     counts = {r.toxic: r["count"] for r in marks.groupBy("toxic").count().collect()}
     if not counts:
         return docs.select(F.col(text_col).alias("text"), F.lit(0).alias("toxic")).limit(0)
-    limits = F.create_map(*(F.lit(v) for k, n in counts.items() for v in (k, int(min(1, rows / n) * 10**6))))
-    some = marks.filter(F.pmod(F.xxhash64("id", F.lit("toxic")), F.lit(10**6)) < limits[F.col("toxic")])
+    limits = F.create_map(*(F.lit(v) for k, n in counts.items() for v in (k, hash_limit(rows, n))))
+    some = marks.filter(F.shiftrightunsigned(F.xxhash64("id", F.lit("toxic")), 1) <= limits[F.col("toxic")])
     # The chosen ids are about ``rows`` for each label, however many documents there are.
     return (
         docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))

@@ -162,3 +162,23 @@ def test_masked_model_of_odd_rows(spark, tmp_path):
     for r in got:
         assert (r.log_prob < 0) == (r.n_tokens > 0) and (r.n_tokens or r.mean_log_prob == 0)
     assert masked_lm.pseudo_likelihood(docs.limit(0)).count() == 0
+
+
+def test_hash_limit_never_rounds_to_zero():
+    assert language_id.hash_limit(20, 10**15) > 0 and language_id.hash_limit(20, 5) == 2**63 - 1
+    assert language_id.hash_limit(1, 2) == pytest.approx(2**62)
+
+
+def test_repeated_texts_are_sampled_once(spark):
+    texts = [(f"der {'abcdefghij'[i]} und", "de") for i in range(10)] + [("the one", "en")] * 3000
+    model = language_id.fit(spark.createDataFrame(texts, "text STRING, lang STRING"), 60)
+    assert model.langs == ["de", "en"] and [g[0] for g in model.predict(["the one", "der b und"])] == ["en", "de"]
+    # The text with most rows is one of 30 different ones, so all of them fit the sample of 30.
+    many = [(f"text {'x' * i}", "de") for i in range(29)] + [("text again", "de")] * 3000
+    seen = []
+    real, language_id.Model = language_id.Model, lambda shares, langs: seen.append(len(langs))
+    try:
+        language_id.fit(spark.createDataFrame(many, "text STRING, lang STRING"), 30)
+    finally:
+        language_id.Model = real
+    assert seen == [30]
