@@ -17,6 +17,7 @@ twice counts as toxic if one label says so. Extra columns are not looked at.
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections import defaultdict
 from collections.abc import Iterable
@@ -34,8 +35,6 @@ TRAIN_ROWS = 4000
 ROOT_SIZES = (3, 4, 5, 6, 7, 8)
 # Roots are taken in turns, the surest first; what a turn leaves uncovered is open to the next.
 PRECISIONS, MIN_SUPPORT = (0.95, 0.85, 0.7), 3
-# A root must be in one of so many toxic documents.
-SUPPORT_PART = 400
 # A word in so many labelled documents of which few are toxic is no insult, whatever its root.
 BENIGN_DOCUMENTS, BENIGN_SHARE = 3, 0.3
 NO_MATCH = 0.01
@@ -207,15 +206,21 @@ def _cover(postings: dict[str, set[int]], shares: dict[str, float], support: int
     """
     roots, covered = [], set()
     for precision in PRECISIONS:
-        open_ = {root: docs - covered for root, docs in postings.items() if shares[root] >= precision}
-        while open_:
-            best = max(sorted(open_), key=lambda root: (len(open_[root]), len(root)))
-            done = open_.pop(best)
-            if len(done) < support:
-                break
-            roots.append(best)
-            covered |= done
-            open_ = {r: left for r, docs in open_.items() if len(left := docs - done) >= support}
+        heap = [
+            (-len(left), -len(root), root)
+            for root, docs in postings.items()
+            if shares[root] >= precision and len(left := docs - covered) >= support
+        ]
+        heapq.heapify(heap)
+        while heap:
+            size, length, root = heapq.heappop(heap)
+            # What a root adds only shrinks, so one that still adds as much is the best.
+            left = len(postings[root] - covered)
+            if left == -size:
+                roots.append(root)
+                covered |= postings[root]
+            elif left >= support:
+                heapq.heappush(heap, (-left, length, root))
     return roots
 
 
@@ -240,18 +245,36 @@ def learn(sample: DataFrame) -> Grammar:
         F.when(F.char_length("word") >= size, F.substring("word", 1, size)) for size in ROOT_SIZES
     ]
     parts = words.select("doc", "toxic", F.explode(F.array(*ends)).alias("root")).filter("root is not null").distinct()
-    n_toxic = sample.filter("toxic = 1").count()
-    support = max(MIN_SUPPORT, n_toxic // SUPPORT_PART)
+    hit = F.col("toxic") == 1
     sure = (
         parts.groupBy("root")
-        .agg(F.sum("toxic").alias("toxic"), F.count("*").alias("docs"))
-        .filter((F.col("toxic") >= support) & (F.col("toxic") >= min(PRECISIONS) * F.col("docs")))
+        .agg(
+            F.sum("toxic").alias("toxic"),
+            F.count("*").alias("docs"),
+            # Two checksums stand for the toxic documents that have the root.
+            F.bit_xor(F.when(hit, F.xxhash64("doc", F.lit(1)))).alias("one"),
+            F.bit_xor(F.when(hit, F.xxhash64("doc", F.lit(2)))).alias("two"),
+        )
+        .filter((F.col("toxic") >= MIN_SUPPORT) & (F.col("toxic") >= min(PRECISIONS) * F.col("docs")))
+    )
+    # Of roots in the same toxic documents only one can be taken: of the earliest turn, then the longest.
+    share = F.col("toxic") / F.col("docs")
+    turn = F.lit(0)
+    for precision in PRECISIONS:
+        turn += F.when(share >= precision, 0).otherwise(1)
+    best = stored(
+        sure.groupBy("one", "two", "toxic")
+        .agg(F.min(F.struct(turn.alias("turn"), (-F.char_length("root")).alias("length"), "root", "docs")).alias("best"))
+        .select("best.root", "toxic", "best.docs"),
+        "toxic-roots",
     )
-    shares = {row.root: row for row in sure.collect()}
+    shares = {row.root: row for row in best.collect()}
     postings = defaultdict(set)
-    for row in parts.filter("toxic = 1").join(sure.select("root"), "root").select("root", "doc").collect():
-        postings[row.root].add(row.doc)
-    roots = _cover(postings, {root: row.toxic / row.docs for root, row in shares.items()}, support)
+    found = parts.filter(hit).join(best.select("root"), "root").select("root", "doc").toArrow()
+    for batch in found.to_batches(1 << 16):
+        for root, doc in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            postings[root].add(doc)
+    roots = _cover(postings, {root: row.toxic / row.docs for root, row in shares.items()}, MIN_SUPPORT)
     prior = PRIORS["insult"] * PRIOR_DOCUMENTS
     smooth = {r: (shares[r].toxic + prior) / (shares[r].docs + PRIOR_DOCUMENTS) for r in roots}
     stems = [root for root in roots if not root.endswith(" ")]

@@ -182,3 +182,29 @@ def test_repeated_texts_are_sampled_once(spark):
     finally:
         language_id.Model = real
     assert seen == [30]
+
+
+def test_rare_insults_are_learned_from_a_full_sample(spark):
+    rng = random.Random(9)
+    spelled = ["".join(rng.choices("bcdfghjklm", k=9)) for _ in range(800)]
+    rows = [(f"some text {i} you {spelled[i // 5]} here", 1) for i in range(4000)]
+    rows += [(f"some text {i} you are here", 0) for i in range(4000)]
+    grammar = toxicity.learn(spark.createDataFrame(rows, "text STRING, toxic INT"))
+    assert np.mean([grammar.score(f"you {word} here") >= 0.7 for word in spelled]) >= 0.99
+
+
+def test_cover_takes_the_root_that_adds_most():
+    rng = random.Random(10)
+    for _ in range(30):
+        postings = {f"r{i:02d}" + "x" * rng.randrange(3): set(rng.sample(range(40), rng.randrange(1, 12))) for i in range(25)}
+        shares = {root: rng.choice([0.7, 0.85, 0.95, 1.0]) for root in postings}
+        roots, covered = [], set()
+        for precision in toxicity.PRECISIONS:
+            while True:
+                open_ = {r: d - covered for r, d in postings.items() if shares[r] >= precision}
+                best = max(sorted(open_), key=lambda r: (len(open_[r]), len(r)), default=None)
+                if best is None or len(open_[best]) < 3:
+                    break
+                roots.append(best)
+                covered |= open_[best]
+        assert toxicity._cover(postings, shares, 3) == roots
