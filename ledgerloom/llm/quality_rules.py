@@ -4,7 +4,8 @@
 measure as a column of native expressions; ``kept`` turns the table into one boolean expression.
 
 Defined results: a null or blank text has no word and is rejected; repeated rows are measured one
-by one; other columns of the input are not looked at, and their names may be anything.
+by one. The bound on stop words does not bind for a language that the list does not hold; without a
+language it binds. Other columns are not looked at, and their names may be anything.
 """
 
 from __future__ import annotations
@@ -32,6 +33,9 @@ STOP_WORDS = (
     "che di e gli i non per sono da dos em não o os uma"
 ).split()
 
+# The languages of the list. In others its words do not occur, so their measure says nothing.
+STOP_WORD_LANGUAGES = ("en", "de", "fr", "es", "it", "pt")
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -66,20 +70,27 @@ MEASURES = {
 }
 
 
-def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row its id and the counts that rules refer to. Nothing is shuffled.
+def measured(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = None
+) -> DataFrame:
+    """Per row its id, the counts that rules refer to and, of a language, ``listed``. Nothing is shuffled.
 
     Windows of three words are compared by their 64-bit hashes within one text.
     """
-    text = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("t"))
+    speaks = F.lit(True) if lang_col is None else listed(F.col(lang_col))
+    text = docs.select(
+        F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("t"), speaks.alias("listed")
+    )
     split = text.select(
         "id",
         "t",
+        "listed",
         F.array_remove(F.split("t", BLANK + "+"), "").alias("words"),
         F.filter(F.split("t", "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]")).alias("lines"),
     )
     hashed = split.select(
         "id",
+        "listed",
         F.size("words").cast("long").alias("n_words"),
         (F.char_length("t") - F.regexp_count("t", F.lit(BLANK))).cast("long").alias("word_chars"),
         F.regexp_count("t", F.lit(SYMBOL)).cast("long").alias("n_symbols"),
@@ -137,6 +148,7 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         "n_repeat_words",
         "n_stop_words",
         "n_upper",
+        *([] if lang_col is None else ["listed"]),
     )
 
 
@@ -145,13 +157,23 @@ def base_failed() -> Column:
     return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
-def compiled(rules: Iterable[Rule] = RULES) -> Column:
-    """The threshold table as one boolean expression over the columns of ``measured``."""
+def listed(lang: Column) -> Column:
+    """Whether the stop words can speak of a text: not if it is known to be in another language."""
+    main = F.lower(F.substring_index(F.regexp_replace(F.trim(lang), "_", "-"), "-", 1))
+    return F.coalesce(main.isin(*STOP_WORD_LANGUAGES, "", "und"), F.lit(True))
+
+
+def compiled(rules: Iterable[Rule] = RULES, speaks: Column | None = None) -> Column:
+    """The threshold table as one boolean expression over the columns of ``measured``.
+
+    Least shares of stop words bind where ``speaks`` holds, or everywhere without it.
+    """
     bounds = []
     for rule in rules:
         value = MEASURES[rule.measure]()
         if rule.low is not None:
-            bounds.append(value >= rule.low)
+            bound = value >= rule.low
+            bounds.append(bound if speaks is None or rule.measure != "stop_word_ratio" else bound | ~speaks)
         if rule.high is not None:
             bounds.append(value <= rule.high)
     return reduce(Column.__and__, bounds, F.lit(True))
@@ -162,22 +184,25 @@ def quality(
     rules: Iterable[Rule] = RULES,
     id_col: str = "doc_id",
     text_col: str = "text",
+    lang_col: str | None = None,
 ) -> DataFrame:
     """Per row its id, its measures, ``base_failed`` and ``kept``."""
     # The partition number is never negative. It keeps a later filter from being moved below the
     # measures, where every array would be built anew at each place that names it.
     fence = F.spark_partition_id() >= 0
+    speaks = None if lang_col is None else F.col("listed")
     return (
-        measured(docs, id_col, text_col)
+        measured(docs, id_col, text_col, lang_col)
         .withColumn("base_failed", base_failed())
-        .withColumn("kept", fence & ~F.col("base_failed") & compiled(rules))
+        .withColumn("kept", fence & ~F.col("base_failed") & compiled(rules, speaks))
     )
 
 
 def passing(
-    docs: DataFrame, rules: Iterable[Rule] = RULES, text_col: str = "text"
+    docs: DataFrame, rules: Iterable[Rule] = RULES, text_col: str = "text", lang_col: str = "lang"
 ) -> DataFrame:
-    """The rows that the rules keep, with the columns they came with."""
+    """The rows that the rules keep, with the columns they came with; ``lang_col`` is used if there."""
     whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
-    judged = quality(whole, rules, "row", f"row.{text_col}")
+    lang = f"row.{lang_col}" if lang_col in docs.columns else None
+    judged = quality(whole, rules, "row", f"row.{text_col}", lang)
     return judged.filter("kept").select("row.*")

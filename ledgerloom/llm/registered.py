@@ -43,7 +43,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 @query
 def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
-    return quality_rules.quality(table(spark, folder, "documents")).select(
+    return quality_rules.quality(table(spark, folder, "documents"), lang_col="lang").select(
         "doc_id",
         "n_words",
         "word_chars",

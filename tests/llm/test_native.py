@@ -237,3 +237,12 @@ def test_mixture_repeats_rows(spark):
 def test_registered_over_odd_rows(spark, tmp_path, name):
     folder = saved(with_clashes(frame(spark, odd_rows())), tmp_path)
     assert registered.QUERIES[name](spark, folder).count() == len(odd_rows())
+
+
+def test_clean_text_of_a_language_without_listed_stop_words_is_kept(spark):
+    from ledgerloom.llm import quality_rules
+
+    text = " ".join(f"слово{chr(0x430 + i % 30)}{chr(0x430 + i // 30)}" for i in range(80))
+    rows = [(i, text, lang) for i, lang in enumerate(["ru", "EN-us", "en", None, "el"])]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING, lang STRING")
+    assert sorted(r.doc_id for r in quality_rules.passing(docs).collect()) == [0, 4]
