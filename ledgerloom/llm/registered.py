@@ -17,6 +17,7 @@ from ledgerloom.llm import (
     quality_rules,
     sharding,
     substring_chains,
+    suffix_dedup,
     token_files,
     toxicity,
 )
@@ -132,3 +133,8 @@ def op6_masked_lm(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op4_substring_chains(spark: SparkSession, folder: str) -> DataFrame:
     return substring_chains.repeated_passages(table(spark, folder, "documents"))
+
+
+@query
+def op11_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.removed(table(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
