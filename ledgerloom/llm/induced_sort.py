@@ -29,7 +29,7 @@ from contextlib import contextmanager
 import numpy as np
 
 # Tuples that one structure keeps in memory, and names that doubling may order at once.
-MEMORY = 1 << 21
+MEMORY = 1 << 22
 BATCH = 1 << 16
 BUCKET = 1 << 15
 UNCUT = np.uint32(1 << 31)

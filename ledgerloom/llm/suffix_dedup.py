@@ -38,7 +38,7 @@ REACH = 400
 # Lengths of the anchors' strings, as parts of ``reach``: the first for all, the others for hot groups.
 SHARES = (0.24, 0.6, 0.85, 1.0)
 HOT = 1024
-SHARD_BYTES = 6 << 20
+SHARD_BYTES = 3 << 20
 TASK_BYTES = 128 << 20
 AT_ONCE = 1 << 18
 _U = np.uint64
@@ -228,6 +228,7 @@ def _windows(texts: DataFrame, reach: int, level: int, within: str | None) -> Da
     found = stored(
         _anchored(texts, reach, level, carried).select("k1", "k2", "weight", "low", "high", "times", group.alias("group")),
         "suffix-anchors",
+        "zstd",
     )
     times = F.sum(F.col("weight") * F.col("times")).alias("times")
     twice = found.groupBy("group").agg(times).filter("times > 1").select("group")
@@ -238,16 +239,17 @@ def _windows(texts: DataFrame, reach: int, level: int, within: str | None) -> Da
     )
     c1, c2 = _keys("bytes")
     pieces_ = pieces_.withColumns({"c1": F.xxhash64("group", c1), "c2": F.xxhash64("group", c2)})
-    cut = stored(pieces_, "suffix-stretches")
+    cut = stored(pieces_, "suffix-stretches", "zstd")
     strings = stored(
         cut.groupBy("c1", "c2", "group").agg(F.sum("weight").alias("weight"), F.first("bytes").alias("bytes")),
         "suffix-strings",
+        "zstd",
     )
     hot = strings.groupBy("group").count().filter(F.col("count") > HOT).select("group")
     if level + 1 < len(SHARES) and not (hot := stored(hot, "suffix-hot")).isEmpty():
         calm = _sorted(strings.join(hot, "group", "left_anti"), reach)
         again = strings.join(hot, "group", "left_semi").withColumnsRenamed({"c1": "k1", "c2": "k2"})
-        dealt = _windows(stored(again, "suffix-again"), reach, level + 1, "group")
+        dealt = _windows(stored(again, "suffix-again", "zstd"), reach, level + 1, "group")
         marked = calm.unionByName(dealt.withColumnsRenamed({"k1": "c1", "k2": "c2"}))
     else:
         marked = _sorted(strings, reach)
