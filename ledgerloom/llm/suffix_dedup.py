@@ -39,7 +39,7 @@ REACH = 400
 SHARES = (0.24, 0.6, 0.85, 1.0)
 HOT = 1024
 SHARD_BYTES = 3 << 20
-TASK_BYTES = 128 << 20
+TASK_BYTES = 32 << 20
 AT_ONCE = 1 << 18
 _U = np.uint64
 
@@ -166,6 +166,26 @@ def _cut(reach: int):
     return F.substring("bytes", F.col("low") + 1, F.col("high") - F.col("low") + reach - 1)
 
 
+def _last(reach: int):
+    """The number of windows of a stretch."""
+    return (F.length("bytes") - reach + 1).cast("int")
+
+
+def _merged(ranges: str):
+    """Sorted ranges with those that touch made one; a stretch has at most ``reach`` of them."""
+    kind = "array<struct<low: int, high: int>>"
+
+    def add(done, new):
+        last = F.element_at(done, -1)
+        joined = F.struct(last.low.alias("low"), F.greatest(last.high, new.high).alias("high"))
+        return F.when(
+            (F.size(done) > 0) & (F.try_element_at(done, F.lit(-1)).high >= new.low),
+            F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(joined)),
+        ).otherwise(F.concat(done, F.array(new)))
+
+    return F.aggregate(ranges, F.array().cast(kind), add)
+
+
 def _sorted(strings: DataFrame, reach: int) -> DataFrame:
     """Repeated windows (``c1, c2, low, high``) of strings (``group, c1, c2, weight, bytes``)."""
 
