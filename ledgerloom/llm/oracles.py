@@ -40,11 +40,14 @@ split AS (
            list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS lines
     FROM docs
 ),
+placed AS (
+    SELECT n, unnest(words) AS a, unnest(range(1, len(words) + 1)) AS i FROM split
+),
 windows AS (
-    SELECT n, unnest(range(1, len(words) - 1)) AS i, words FROM split WHERE len(words) > 2
+    SELECT n, i, a, lead(a) OVER w AS b, lead(a, 2) OVER w AS c FROM placed WINDOW w AS (PARTITION BY n ORDER BY i)
 ),
 grams AS (
-    SELECT n, i, count(*) OVER (PARTITION BY n, words[i], words[i + 1], words[i + 2]) AS times FROM windows
+    SELECT n, i, count(*) OVER (PARTITION BY n, a, b, c) AS times FROM windows WHERE c IS NOT NULL
 ),
 repeated AS (
     SELECT n, count(DISTINCT i + step) AS n_repeat_words
@@ -170,4 +173,38 @@ SELECT doc_id, size::BIGINT AS size, text_crc32, 'key' AS law, shard::INTEGER AS
 FROM sliced
 """
 
-ORACLES = {"op1_quality_rules": OP1, "op2_jump_sharding": OP2, "op8_mixing": OP8}
+_TERMS = """regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"""
+
+OP13 = f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS words FROM documents),
+items AS (SELECT row_number() OVER () AS q, item_id, {_TERMS} AS words FROM benchmark),
+totals AS (
+    SELECT count(*) FILTER (len(words) > 0)::BIGINT AS n_docs, sum(len(words))::BIGINT AS n_terms FROM docs
+),
+asked AS (
+    SELECT q, item_id, term, count(*) AS times FROM (SELECT q, item_id, unnest(words) AS term FROM items) GROUP BY ALL
+),
+found AS (
+    SELECT r, doc_id, n, term, count(*) AS tf
+    FROM (SELECT r, doc_id, len(words) AS n, unnest(words) AS term FROM docs)
+    WHERE term IN (SELECT term FROM asked) GROUP BY ALL
+),
+weights AS (
+    SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::BIGINT AS weight
+    FROM found, totals GROUP BY term, n_docs
+),
+scores AS (
+    SELECT q, item_id, r, doc_id,
+           sum(times * weight * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms))))::BIGINT
+               AS score
+    FROM asked JOIN found USING (term) JOIN weights USING (term), totals GROUP BY ALL
+),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS place
+    FROM scores WHERE score > 0
+)
+SELECT item_id, place::INTEGER AS rank, doc_id, score FROM placed WHERE place <= 10
+"""
+
+ORACLES = {"op1_quality_rules": OP1, "op2_jump_sharding": OP2, "op8_mixing": OP8, "op13_lexical_search": OP13}

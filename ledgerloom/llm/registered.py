@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ledgerloom.llm import (
     decontamination,
     language_id,
+    lexical_search,
     masked_lm,
     mixing,
     ngram_join,
@@ -20,6 +21,7 @@ from ledgerloom.llm import (
     suffix_dedup,
     token_files,
     toxicity,
+    whitening,
 )
 from ledgerloom.llm.shipping import ship
 from ledgerloom.session import scratch_path
@@ -138,3 +140,14 @@ def op4_substring_chains(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op11_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.removed(table(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitened(table(spark, folder, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+@query
+def op13_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    found = lexical_search.ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.withColumnsRenamed({"item": "item_id", "id": "doc_id"})

@@ -12,10 +12,13 @@ FOLDER = "/root/testdata/sf0.01"
 @pytest.mark.parametrize("name", sorted(registered.ORACLES))
 def test_query_equals_sql(spark, tmp_path, name):
     odd = saved(frame(spark, odd_rows()), tmp_path)
-    for folder, files in ((FOLDER, "documents.parquet"), (odd, "documents.parquet/*.parquet")):
+    items = [(1, "W1 the w2 w2"), (None, "no words but w3"), (2, None), (3, ""), (1, "é 漢字")]
+    spark.createDataFrame(items, "item_id BIGINT, text STRING").write.parquet(f"{odd}/benchmark.parquet")
+    for folder, files in ((FOLDER, "{}.parquet"), (odd, "{}.parquet/*.parquet")):
         ours = registered.QUERIES[name](spark, folder)
         duck = duckdb.connect()
-        duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/{files}'")
+        for table in ("documents", "benchmark"):
+            duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{files.format(table)}'")
         theirs = duck.execute(registered.ORACLES[name])
         order = [column[0] for column in theirs.description]
         assert sorted(order) == sorted(ours.columns)
