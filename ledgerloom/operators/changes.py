@@ -56,7 +56,18 @@ def update_commit(
     Where the update moves rows to other keys, the keys they leave get tombstones, unless the same
     commit writes them again. A key that would have two rows then fails the commit.
     """
-    current = history.latest(log, keys)
+    return update_of(history.latest(log, keys), keys, assignments, commit_ts, commit_id, where)
+
+
+def update_of(
+    current: DataFrame,
+    keys: Sequence[str],
+    assignments: Mapping[str, Column],
+    commit_ts: Column,
+    commit_id: Column,
+    where: Column | None = None,
+) -> DataFrame:
+    """The log rows of ``update_commit`` where the current rows are known."""
     chosen = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
     selected = current.filter(chosen)
     written = update_rows(selected, assignments)
@@ -83,7 +94,12 @@ def delete_commit(
     log: DataFrame, keys: Sequence[str], where: Column, commit_ts: Column, commit_id: Column
 ) -> DataFrame:
     """Log rows of a delete: one tombstone per current row that the predicate selects."""
-    return _commit(history.latest(log, keys).filter(where), "D", commit_ts, commit_id)
+    return delete_of(history.latest(log, keys), where, commit_ts, commit_id)
+
+
+def delete_of(current: DataFrame, where: Column, commit_ts: Column, commit_id: Column) -> DataFrame:
+    """The log rows of ``delete_commit`` where the current rows are known."""
+    return _commit(current.filter(where), "D", commit_ts, commit_id)
 
 
 def write_log(log: DataFrame, path: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from ledgerloom.functions.scalars import add_days
 from ledgerloom.sources import tables
@@ -28,12 +28,18 @@ def keep_recent(rows: DataFrame, moment: str, days: int) -> DataFrame:
 
 
 def expire(rows: DataFrame, moment: str, days: int, target: str) -> DataFrame:
-    """Write the cleaned table to ``target`` and report rows kept and removed."""
+    """Write the cleaned table to ``target`` and report rows kept and removed.
+
+    Both numbers are observed by the write itself: together they are the rows that it read.
+    """
     recent = (F.col(moment) >= cutoff(rows, moment, days)) | F.col(moment).isNull()
-    counted = rows.select(recent.alias("recent")).agg(
-        F.count_if("recent").alias("kept"), F.count_if(~F.coalesce("recent", F.lit(False))).alias("removed")
+    counted = Observation()
+    marked = rows.withColumn("_recent", F.coalesce(recent, F.lit(False))).observe(
+        counted,
+        F.count_if("_recent").alias("kept"),
+        F.count_if(~F.col("_recent")).alias("removed"),
     )
-    # Counted before the report is returned, so that later arrivals are in neither number.
-    numbers = counted.first()
-    tables.write_new(keep_recent(rows, moment, days), target)
-    return rows.sparkSession.createDataFrame([tuple(numbers)], counted.schema)
+    tables.write_new(marked.filter("_recent").drop("_recent"), target)
+    # No partition of an empty table reaches the write, and nothing is then observed.
+    numbers = [counted.get.get(name, 0) for name in ("kept", "removed")]
+    return rows.sparkSession.createDataFrame([tuple(numbers)], "kept bigint, removed bigint")

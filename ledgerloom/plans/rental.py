@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerloom.functions.aggregates import count_where
+from ledgerloom.functions.aggregates import count_where, money_names, money_parts, money_total
 from ledgerloom.functions.ordering import ascending
 from ledgerloom.functions.scalars import concat_blank, sum_hours
 from ledgerloom.operators.joins import without_match
@@ -40,11 +40,14 @@ def top_spend_category(
 ) -> DataFrame:
     """The category that earned most. Categories are told apart by id, and shown by name."""
     # A rental has about one payment, so payments meet the rentals as they are and shrink after.
-    paid = payment.select("rental_id", "amount").join(rental.select("rental_id", "inventory_id"), "rental_id")
-    per_copy = paid.groupBy("inventory_id").agg(F.sum("amount").alias("total_amount"))
-    per_film = roll_up(per_copy, inventory, "inventory_id", "film_id", ["total_amount"])
-    per_category = roll_up(per_film, film_category, "film_id", "category_id", ["total_amount"])
-    report = label(per_category, category, "category_id", ["name"], ["total_amount"])
+    measures = money_names("total_amount")
+    amounts = payment.select("rental_id", *money_parts(F.col("amount"), "total_amount"))
+    paid = amounts.join(rental.select("rental_id", "inventory_id"), "rental_id")
+    per_copy = paid.groupBy("inventory_id").agg(*[F.sum(measure).alias(measure) for measure in measures])
+    per_film = roll_up(per_copy, inventory, "inventory_id", "film_id", measures)
+    per_category = roll_up(per_film, film_category, "film_id", "category_id", measures)
+    report = label(per_category, category, "category_id", ["name"], measures)
+    report = report.select("category_id", "name", money_total("total_amount"))
     return top_k(report, "total_amount", k, ["category_id"]).select(
         F.col("name").alias("category"), "total_amount"
     )

@@ -297,6 +297,14 @@ ORACLES = {
     """,
     "asof_stored_log": _state("commit_ts <= TIMESTAMP '2024-01-15 12:00:00'"),
     "prune_stored_log": _state("commit_ts <= TIMESTAMP '2024-01-15 12:00:00'"),
+    "before_stored_log": _state(
+        "commit_id < (SELECT max(commit_id) FROM log WHERE event_type = 'purchase')"
+    ),
+    "asof_snapshot_log": _state("commit_ts <= TIMESTAMP '2024-01-15 12:00:00'"),
+    "update_snapshot_log": f"""
+        SELECT user_id, event_type, CASE WHEN value > 10 THEN value / 2 ELSE value END AS value
+        FROM ({_state("true")})
+    """,
     "sql_orders_view": """
         SELECT CAST(o_orderdate AS DATE) AS date, o_orderkey AS order_id,
                CAST(l_linenumber AS BIGINT) AS line_number, s_name AS primary_city,
@@ -329,3 +337,4 @@ ORACLES = {
         FROM supplier JOIN nation ON s_nationkey = n_nationkey
     """,
 }
+ORACLES["prune_twice_log"] = ORACLES["history_prune"]

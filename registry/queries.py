@@ -7,14 +7,16 @@ on them; otherwise the query puts the same operators together.
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ledgerloom.functions import scalars, variants
+from ledgerloom.functions import aggregates, scalars, variants
 from ledgerloom.functions.ordering import ascending
 from ledgerloom.operators import changes, history, joins, ranking, retention
 from ledgerloom.operators.rollup import roll_up
+from ledgerloom.operators.stored_log import StoredLog
 from ledgerloom.plans import menu, orders, rental, sql_api, trucks
 from ledgerloom.session import scratch_path
 from ledgerloom.sources import csv_files, tables
@@ -74,17 +76,19 @@ def top_k_bridge(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def top1_category_spend(spark: SparkSession, folder: str) -> DataFrame:
+    measures = aggregates.money_names("total_amount")
     lines = read(spark, folder, "lineitem").select(
-        "l_orderkey", "l_partkey", money("l_extendedprice").alias("total_amount")
+        "l_orderkey", "l_partkey", *aggregates.money_parts(F.col("l_extendedprice"), "total_amount")
     )
     orders_ = read(spark, folder, "orders").select("o_orderkey")
     per_part = (
         lines.join(orders_, F.col("l_orderkey") == F.col("o_orderkey"))
         .groupBy(F.col("l_partkey").alias("p_partkey"))
-        .agg(F.sum("total_amount").alias("total_amount"))
+        .agg(*[F.sum(measure).alias(measure) for measure in measures])
     )
     parts = read(spark, folder, "part").select("p_partkey", "p_type")
-    per_type = roll_up(per_part, parts, "p_partkey", "p_type", ["total_amount"])
+    per_type = roll_up(per_part, parts, "p_partkey", "p_type", measures)
+    per_type = per_type.select("p_type", aggregates.money_total("total_amount"))
     return ranking.top_k(per_type, "total_amount", 1, ["p_type"]).select(
         F.col("p_type").alias("category"), F.col("total_amount").cast("double").alias("total_amount")
     )
@@ -677,6 +681,48 @@ def prune_stored_log(spark: SparkSession, folder: str) -> DataFrame:
     return history.as_of(pruned, ["user_id"], cutoff, with_commit=True)
 
 
+def store_log(spark: SparkSession, folder: str) -> StoredLog:
+    return StoredLog.create(event_log(spark, folder), scratch_path(spark, "stored-log"), ["user_id"])
+
+
+@query
+def before_stored_log(spark: SparkSession, folder: str) -> DataFrame:
+    """Just before a commit; the index of commits tells which days to open."""
+    log = store_log(spark, folder)
+    purchases = log.rows().filter(F.col("event_type") == "purchase")
+    return log.before(purchases.agg(F.max("commit_id")).first()[0], with_commit=True)
+
+
+@query
+def asof_snapshot_log(spark: SparkSession, folder: str) -> DataFrame:
+    """A past state from a stored state and the days after it."""
+    log = store_log(spark, folder)
+    for day in (datetime.date(2024, 1, 5), datetime.date(2024, 1, 10)):
+        log.build_state(day)
+    return log.as_of(datetime.datetime(2024, 1, 15, 12), with_commit=True)
+
+
+@query
+def update_snapshot_log(spark: SparkSession, folder: str) -> DataFrame:
+    """An update that reads the newest stored state and the days after it."""
+    log = store_log(spark, folder)
+    newest = log.rows().agg(F.max("commit_ts").alias("ts"), F.max("commit_id").alias("id")).first()
+    log.build_state(newest.ts.date() - datetime.timedelta(days=1))
+    moment = F.lit(newest.ts + datetime.timedelta(days=1)).cast(log.rows().schema["commit_ts"].dataType)
+    log.update({"value": F.col("value") / 2}, moment, F.lit(newest.id + 1), F.col("value") > 10)
+    return log.latest()
+
+
+@query
+def prune_twice_log(spark: SparkSession, folder: str) -> DataFrame:
+    """A log pruned in two steps; the second rewrites only the days between the cutoffs."""
+    log = store_log(spark, folder)
+    newest = log.rows().agg(F.max("commit_ts")).first()[0]
+    for days in (20, 10):
+        log.prune(newest - datetime.timedelta(days=days))
+    return log.pruned().drop("commit_date")
+
+
 # --- the shipped reports by their SQL names, on tables mapped to the order system's ---------------
 
 
