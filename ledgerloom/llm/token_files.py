@@ -6,8 +6,9 @@ trained on serialized id arrays, so that a short document can be read alone. Fra
 one row of Parquet each: the block's bytes, and in columns of their own the documents' ids, offsets,
 lengths, token counts, and the hash of the dictionary. ``index`` and ``read_documents`` use them.
 
-The dictionary is trained on about ``SAMPLE_DOCUMENTS`` documents of at most ``SAMPLE_BYTES`` bytes,
-picked by a hash of their ids. It changes the size of the files and nothing else.
+The dictionary is trained on about ``SAMPLE_DOCUMENTS`` different texts (never more than
+``MOST_SAMPLES``) of at most ``SAMPLE_BYTES`` bytes, picked by a hash of id and text whose bound never
+rounds to nothing. It changes the size of the files and nothing else.
 
 Defined results: a null or empty text has the end id alone; rows without an id come first; rows with
 equal ids lie in the order of a hash of their texts; extra columns are not looked at.
@@ -18,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+import struct
 import zlib
 
 import numpy as np
@@ -26,22 +28,36 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from ledgerloom.llm.wordhash import BLANK, pieces, span_hashes, texts_of
+from ledgerloom.llm.wordhash import pieces, texts_of
 
 END = 0
 LEVEL = 3
 BLOCK_BYTES = 1 << 20
 DICTIONARY_BYTES, SAMPLE_DOCUMENTS, SAMPLE_BYTES = 1 << 16, 2000, 1 << 14
-KNOWN_SEGMENTS = 1 << 20
-# Blanks beyond ASCII, which may run together with ASCII ones into one token.
-_WIDE_BLANK = re.compile("[\x85\xa0  -     　]")
+MOST_SAMPLES = 2 * SAMPLE_DOCUMENTS
+KNOWN_SEGMENTS = 3 << 18
+
+
+def _serialized(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+_END = _serialized([END])
+_BLANKS = "\\t\\n\\x0b\\x0c\\r "
+# A stretch is a run of blanks and what follows up to the next one.
+_STRETCH = re.compile(f"[{_BLANKS}]*[^{_BLANKS}]+|[{_BLANKS}]+")
+# Blanks beyond ASCII may run together with ASCII ones into one token; such texts are cut only
+# before blanks that follow an ASCII character.
+_WIDE_BLANK = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_CUT = re.compile(f"(?<=[\\x00-\\x08\\x0e-\\x1f\\x21-\\x7f])(?=[{_BLANKS}])")
 
 
 class Encoder:
     """Encodes many texts with a byte-level tokenizer, each distinct stretch of text once.
 
     The tokenizer's pattern never lets a token cross the beginning of a run of blanks, so a text
-    may be cut there: the ids of the parts, one after another, are the ids of the text.
+    may be cut there: the ids of the parts, one after another, are the ids of the text. Stretches are
+    known by their characters.
     """
 
     def __init__(self, path: str):
@@ -49,52 +65,25 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self._forget()
-
-    def _forget(self):
-        self.slots: dict[int, int] = {}
-        self.ids = np.array([END], dtype=np.uint32)
-        self.first = np.array([0, 1])
-
-    def _learn(self, hashes, data, starts, ends):
-        parts = [data[a:b].tobytes().decode() for a, b in zip(starts, ends)]
-        new = [e.ids for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
-        self.slots.update(zip(hashes, range(len(self.first) - 1, len(self.first) - 1 + len(new))))
-        sizes = np.fromiter(map(len, new), dtype=np.int64, count=len(new))
-        self.first = np.concatenate((self.first, self.first[-1] + np.cumsum(sizes)))
-        self.ids = np.concatenate((self.ids, *(np.array(x, dtype=np.uint32) for x in new)))
+        self.known: dict[str, bytes] = {}
+
+    def serialized(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text, ended by ``END``, as little-endian unsigned 32-bit numbers."""
+        parts = [
+            () if not text else _CUT.split(text) if _WIDE_BLANK.search(text) else _STRETCH.findall(text)
+            for text in texts
+        ]
+        if len(self.known) > KNOWN_SEGMENTS:
+            self.known = {}
+        new = list(set().union(*parts).difference(self.known))
+        encodings = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
+        self.known.update(zip(new, (_serialized(e.ids) for e in encodings)))
+        ids = self.known.__getitem__
+        return [b"".join([*map(ids, stretches), _END]) for stretches in parts]
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text, ended by ``END``."""
-        parts = [(text or "").encode() for text in texts]
-        offsets = np.concatenate(([0], np.cumsum([len(p) for p in parts]))).astype(np.int64)
-        data = np.frombuffer(b"".join(parts), dtype=np.uint8)
-        blank = BLANK[data]
-        begin = blank.copy()
-        begin[1:] &= ~blank[:-1]
-        if any(text and _WIDE_BLANK.search(text) for text in texts):
-            begin[1:] &= data[:-1] < 128
-        begin[offsets[:-1][np.diff(offsets) > 0]] = True
-        starts = np.flatnonzero(begin)
-        ends = np.append(starts[1:], len(data))
-        if len(self.slots) > KNOWN_SEGMENTS:
-            self._forget()
-        hashes, at, which = np.unique(
-            span_hashes(data, starts, ends), return_index=True, return_inverse=True
-        )
-        keys = hashes.tolist()
-        new = [i for i, key in enumerate(keys) if key not in self.slots]
-        if new:
-            places = at[new]
-            self._learn([keys[i] for i in new], data, starts[places], ends[places])
-        known = np.fromiter((self.slots[key] for key in keys), dtype=np.int64, count=len(keys))
-        # The end of each text is one more segment, the first that is known.
-        cut = np.searchsorted(starts, offsets[1:])
-        segments = np.insert(known[which], cut, 0)
-        sizes = self.first[segments + 1] - self.first[segments]
-        total = np.cumsum(sizes)
-        flat = self.ids[np.arange(total[-1]) + np.repeat(self.first[segments] - total + sizes, sizes)]
-        return np.split(flat, total[cut + np.arange(len(texts))][:-1])
+        return [np.frombuffer(ids, "<u4") for ids in self.serialized(texts)]
 
 
 _encoders: dict[str, Encoder] = {}
@@ -106,23 +95,29 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def _serialized(ids: np.ndarray) -> bytes:
-    return ids.astype("<u4").tobytes()
+def sample_limit(rows: int) -> int:
+    """The bound of a signed 64-bit hash below which about ``SAMPLE_DOCUMENTS`` of the rows lie."""
+    if rows <= SAMPLE_DOCUMENTS:
+        return (1 << 63) - 1
+    return -(1 << 63) + (SAMPLE_DOCUMENTS << 64) // rows
 
 
 def train_dictionary(docs: DataFrame, tokenizer: str) -> bytes:
     """A zstandard dictionary for the ids of these texts (columns ``id, text``)."""
+    # Different texts, each by a hash of its id and itself, so that no hot id or text fills the sample.
     count = docs.count()
-    share = F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit("sample")), F.lit(1 << 20))
-    some = docs.filter(
-        (share < F.lit(int(min(1.0, SAMPLE_DOCUMENTS / max(count, 1)) * (1 << 20))))
-        & (F.octet_length("text") <= SAMPLE_BYTES)
-    ).select("text")
+    share = F.xxhash64(F.lit("sample"), F.col("id").cast("string"), F.col("text"))
+    some = (
+        docs.filter((share < sample_limit(count)) & (F.octet_length("text") <= SAMPLE_BYTES))
+        .select("text")
+        .dropDuplicates(["text"])
+        .limit(MOST_SAMPLES)
+    )
 
     def train(batches):
         samples = []
         for batch in pieces(batches):
-            samples += map(_serialized, encoder(tokenizer).encode(texts_of(batch)))
+            samples += encoder(tokenizer).serialized(texts_of(batch))
         try:
             content = zstandard.train_dictionary(DICTIONARY_BYTES, samples, level=LEVEL).as_bytes()
         except (zstandard.ZstdError, ValueError):
@@ -130,7 +125,8 @@ def train_dictionary(docs: DataFrame, tokenizer: str) -> bytes:
             content = b"".join(samples)[-DICTIONARY_BYTES:]
         yield pa.RecordBatch.from_arrays([pa.array([content], pa.binary())], ["content"])
 
-    return bytes(some.repartition(1).mapInArrow(train, "content binary").first()[0])
+    trained = some.repartition(1).mapInArrow(train, "content binary").first()
+    return bytes(trained[0]) if trained else b""
 
 
 def write_tokens(
@@ -177,11 +173,11 @@ def write_tokens(
 
         size = 0
         for batch in pieces(batches):
-            for key, ids in zip(batch.column(0).to_pylist(), encoder(tokenizer).encode(texts_of(batch))):
-                frame = compressor.compress(_serialized(ids))
+            for key, ids in zip(batch.column(0).to_pylist(), encoder(tokenizer).serialized(texts_of(batch))):
+                frame = compressor.compress(ids)
                 keys.append(key)
                 frames.append(frame)
-                tokens.append(len(ids))
+                tokens.append(len(ids) // 4)
                 size += len(frame)
                 if size >= BLOCK_BYTES:
                     yield packed()

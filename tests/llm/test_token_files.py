@@ -34,6 +34,42 @@ def test_encoder_equals_the_tokenizer():
         assert [x.tolist() for x in ours] == plain(some)
 
 
+def test_stretches_that_share_a_polynomial_hash_keep_their_ids():
+    """Thue-Morse words and their complements: equal under any even polynomial modulo 2^64."""
+    word = "a"
+    while len(word) < 4096:
+        word += word.translate(str.maketrans("ab", "ba"))
+    texts = [w for n in (1024, 2048, 4096) for w in (word[:n], word[:n].translate(str.maketrans("ab", "ba")))]
+    assert [x.tolist() for x in token_files.Encoder(PATH).encode(texts)] == plain(texts)
+
+
+def test_the_sample_is_never_empty():
+    for rows in (1, 2000, 3 * 10**9, 10**13):
+        share = (token_files.sample_limit(rows) + (1 << 63)) / (1 << 64)
+        assert share * rows == pytest.approx(min(rows, token_files.SAMPLE_DOCUMENTS), rel=1e-3)
+
+
+def test_hot_and_null_ids_leave_the_sample_bounded(spark, monkeypatch):
+    monkeypatch.setattr(token_files, "SAMPLE_DOCUMENTS", 10**6)
+    monkeypatch.setattr(token_files, "MOST_SAMPLES", 20)
+    rows = [(None, f"text {at % 40} of many") for at in range(400)]
+    docs = spark.createDataFrame(rows, "id BIGINT, text STRING")
+    assert len(token_files.train_dictionary(docs, PATH)) > 0
+
+
+def test_registered_query(spark, tmp_path):
+    from ledgerloom.llm.registered import QUERIES
+    from tests.llm.cases import saved
+
+    rows = odd_rows()
+    got = QUERIES["op7_token_files"](spark, saved(frame(spark, rows), tmp_path))
+    assert got.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
+    crc = [zlib.crc32(np.array(x, dtype="<u4").tobytes()) for x in plain([r[1] for r in rows])]
+    assert sorted((r.doc_id or -1, r.ids_crc32) for r in got.collect()) == sorted(
+        (r[0] or -1, c) for r, c in zip(rows, crc)
+    )
+
+
 def test_encoder_forgets_and_goes_on(monkeypatch):
     monkeypatch.setattr(token_files, "KNOWN_SEGMENTS", 3)
     encoder = token_files.Encoder(PATH)
