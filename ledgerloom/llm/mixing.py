@@ -15,6 +15,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ledgerloom.llm.rowkeys import wide_key
 from ledgerloom.llm.stored import stored
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -151,7 +152,9 @@ def chosen(
     planned = rows.join(plan, _same("of")).drop("of")
     off = planned.filter((F.col("hash") != F.col("threshold")) | F.col("threshold").isNull())
     on = planned.filter(F.col("hash") == F.col("threshold"))
-    equal = Window.partitionBy("source", "hash").orderBy(F.col("size").desc())
+    # Of rows with one hash, the longest first and else by their keys, so that reruns agree.
+    ties = [F.col("key")] if "key" in rows.columns else []
+    equal = Window.partitionBy("source", "hash").orderBy(F.col("size").desc(), *ties)
     extra = F.coalesce((F.col("hash") < F.col("threshold")).cast("int"), F.lit(0))
     # A rest of nothing has no threshold, and neither has a source without words.
     done = off.withColumn("times", F.col("rounds") + extra).unionByName(
@@ -173,17 +176,32 @@ def mixed_documents(
     source_col: str = "source",
 ) -> DataFrame:
     """Per row its id, ``size``, ``source_size``, ``target`` and ``times``."""
+    planned = _planned(docs, weights, share, most, id_col, text_col, source_col)
+    return planned.withColumnRenamed("id", id_col).drop("key")
+
+
+def _planned(
+    docs: DataFrame,
+    weights: Sequence[int],
+    share: float,
+    most: float,
+    id_col: str,
+    text_col: str,
+    source_col: str,
+) -> DataFrame:
+    """The rows of ``mixed_documents`` with ``id`` and the ``key`` that names them."""
     rows = stored(
         docs.select(
             F.col(id_col).alias("id"),
             F.col(source_col).alias("source"),
             size_in_words(F.col(text_col)).alias("size"),
             row_hash(F.col(id_col), F.col(text_col)).alias("hash"),
+            wide_key(F.col(source_col), F.col(id_col), F.col(text_col)).alias("key"),
         ),
         "mix-rows",
     )
     return chosen(rows, weights, share, most).select(
-        F.col("id").alias(id_col), "size", "source_size", "target", "times", "source", "hash"
+        "id", "size", "source_size", "target", "times", "source", "hash", "key"
     )
 
 
@@ -198,36 +216,32 @@ def mixture(
 ) -> DataFrame:
     """The rows of the mix with the columns they came with, each as often as it is taken.
 
-    Rows without words are kept once: they cost nothing.
+    Rows without words are kept once: they cost nothing. Rows are known by source, id and text; of
+    equal ones, some may be taken once more than the others, in the order of their other columns.
     """
     picks = (
-        mixed_documents(docs, weights, share, most, id_col, text_col, source_col)
-        .select("hash", F.when(F.col("size") == 0, 1).otherwise(F.col("times")).alias("times"))
-        .groupBy("hash", "times")
-        .agg(F.count("*").alias("rows"))
-        .groupBy("hash")
-        .agg(F.sum(F.col("times") * F.col("rows")).alias("taken"), F.sum("rows").alias("rows"))
+        _planned(docs, weights, share, most, id_col, text_col, source_col)
+        .groupBy("key")
+        .agg(
+            F.sum(F.when(F.col("size") == 0, 1).otherwise(F.col("times"))).alias("taken"),
+            F.count("*").alias("rows"),
+        )
     )
     keyed = docs.select(
         F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
-        row_hash(F.col(id_col), F.col(text_col)).alias("hash"),
-    )
-    copies = F.sequence(F.lit(1), F.col("times").cast("int"))
-    once = keyed.join(picks.filter("rows = 1").withColumnRenamed("taken", "times"), "hash")
-    nth = F.row_number().over(Window.partitionBy("hash").orderBy(F.lit(1))) - 1
-    # Of equal rows, some may be taken once more than the others.
-    more = (
-        keyed.join(picks.filter("rows > 1"), "hash")
-        .withColumn("nth", nth)
-        .withColumn(
-            "times",
-            F.floor(F.col("taken") / F.col("rows")) + (F.col("nth") < F.col("taken") % F.col("rows")).cast("int"),
-        )
-    )
+        wide_key(F.col(source_col), F.col(id_col), F.col(text_col)).alias("key"),
+    )
+    planned = keyed.join(picks, "key").withColumn("times", F.floor(F.col("taken") / F.col("rows")).cast("int"))
+    # Only rows that are not taken equally often have to be told apart.
+    even = F.col("taken") % F.col("rows") == 0
+    order = Window.partitionBy("key").orderBy(F.to_json("row"))
+    more = planned.filter(~even).withColumn("nth", F.row_number().over(order) - 1)
+    more = more.withColumn("times", F.col("times") + (F.col("nth") < F.col("taken") % F.col("rows")).cast("int"))
     return (
-        once.select("row", "times")
+        planned.filter(even)
+        .select("row", "times")
         .unionByName(more.select("row", "times"))
         .filter("times > 0")
-        .select("row", F.explode(copies))
+        .select("row", F.explode(F.sequence(F.lit(1), F.col("times"))))
         .select("row.*")
     )

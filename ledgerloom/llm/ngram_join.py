@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.llm.components import components
 from ledgerloom.llm.runs import runs
+from ledgerloom.llm.rowkeys import wide_key
 from ledgerloom.llm.stored import stored
 from ledgerloom.llm.wordhash import Words, mixed, multipliers, pieces, texts_of
 
@@ -86,7 +87,7 @@ def _band_keys(sets: list[np.ndarray], bands: int, rows: int) -> np.ndarray:
 
 
 def _row_id(id_col: str, text_col: str):
-    return F.xxhash64(F.col(id_col).cast("string"), F.col(text_col))
+    return wide_key(F.col(id_col), F.col(text_col))
 
 
 def signatures(
@@ -94,7 +95,7 @@ def signatures(
 ) -> DataFrame:
     """Per row its id, a hash of the row, the key of its n-gram set, the set's size, band keys."""
     kind = docs.select(id_col).schema[0].dataType.simpleString()
-    schema = f"id {kind}, rid bigint, copy binary, grams bigint, bands array<bigint>"
+    schema = f"id {kind}, rid binary, copy binary, grams bigint, bands array<bigint>"
 
     def sign(batches):
         for batch in pieces(batches):

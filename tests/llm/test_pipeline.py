@@ -5,7 +5,7 @@ from collections import Counter
 
 import corpus_pipeline
 from ledgerloom.llm import decontamination, mixing, quality_rules
-from tests.llm.cases import frame, odd_rows, prose, saved, words_of
+from tests.llm.cases import frame, odd_rows, prose, saved, with_clashes, words_of
 from tests.llm.test_native import jump
 from tests.llm.test_ngram_join import near_copies, plain_join
 
@@ -60,3 +60,30 @@ def test_pipeline_over_an_empty_table(spark, tmp_path):
     folder = saved(frame(spark, []), tmp_path)
     spark.createDataFrame([(1, "a b c d e f")], "item_id BIGINT, text STRING").write.parquet(f"{folder}/benchmark.parquet")
     assert corpus_pipeline.run(spark, folder).count() == 0
+
+
+def test_clashing_columns_keep_their_values(spark, tmp_path):
+    rows, item = world()
+    folder = saved(with_clashes(frame(spark, rows[:60])), tmp_path)
+    spark.createDataFrame([(1, item)], "item_id BIGINT, text STRING").write.parquet(f"{folder}/benchmark.parquet")
+    out = corpus_pipeline.run(spark, folder)
+    assert out.columns[-1] == "shard_" and out.filter("shard <> 'clash' OR key <> 'clash'").count() == 0
+    assert out.filter("shard_ BETWEEN 0 AND 7").count() == out.count() > 0
+
+
+def test_a_mixture_takes_what_the_plan_says_by_source(spark, monkeypatch):
+    """Documents that lie in several sources, and hashes so narrow that many documents share them."""
+    monkeypatch.setattr(
+        mixing, "row_hash", lambda *columns: mixing.F.pmod(mixing.F.xxhash64(*columns), mixing.F.lit(7)).cast("long")
+    )
+    rng = random.Random(2)
+    texts = [prose(rng, rng.randrange(5, 40)) for _ in range(40)]
+    rows = [(i, texts[i], "en", source, i) for source in "ab" for i in range(10)]
+    rows += [(i, texts[i], "en", "b", at) for i in range(10, 40) for at in range(1 + i % 3)]
+    docs = frame(spark, rows).repartition(3)
+    plan = Counter()
+    for row in mixing.mixed_documents(docs).collect():
+        plan[row.source, row.doc_id] += row.times
+    found = sorted(map(tuple, mixing.mixture(docs).collect()))
+    assert Counter((r[3], r[0]) for r in found) == +plan
+    assert found == sorted(map(tuple, mixing.mixture(docs.repartition(5)).collect()))
