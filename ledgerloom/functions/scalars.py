@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterable
+from functools import lru_cache, reduce
+from operator import or_
 
 from pyspark.sql import Column, functions as F
 
@@ -23,6 +26,25 @@ def clamp(value: Column, upper: Column, lower: Column) -> Column:
     return F.when(value > upper, upper).when(value < lower, lower).otherwise(value)
 
 
+@lru_cache(maxsize=128)
+def _same_when_lowered(letter: str) -> tuple[str, ...]:
+    """Every character that a lower-cased text beginning with ``letter`` can begin with."""
+    return tuple(c for c in map(chr, range(sys.maxunicode + 1)) if c.lower().startswith(letter))
+
+
+def ilike(value: Column, pattern: str) -> Column:
+    """``value ILIKE pattern``, whose first letter the file reader can prune by.
+
+    A reader does not know ILIKE. Where the pattern begins with a letter, the few characters that
+    fold to it are asked for as plain prefixes too; the exact test stays.
+    """
+    lowered = pattern.lower()
+    if not lowered or lowered[0] in "%_\\":
+        return value.ilike(pattern)
+    first = [value.startswith(c) for c in _same_when_lowered(lowered[0])]
+    return reduce(or_, first) & value.ilike(pattern)
+
+
 def year_gap(year: int | Column, since: Column) -> Column:
     """Whole years from ``since`` (a year number) to ``year``."""
     return _column(year) - since

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.functions.aggregates import count_where, money_names, money_parts, money_total
 from ledgerloom.functions.ordering import ascending
-from ledgerloom.functions.scalars import concat_blank, sum_hours
+from ledgerloom.functions.scalars import ilike, concat_blank, sum_hours
 from ledgerloom.operators.joins import without_match
 from ledgerloom.operators.ranking import leaders, sort_down, top_k
 from ledgerloom.operators.rollup import label, roll_up
@@ -55,7 +55,7 @@ def top_spend_category(
 
 def city_is_listed(city: Column) -> Column:
     """Cities that start with an A in either case, or whose name has a hyphen."""
-    return city.ilike("a%") | city.like("%-%")
+    return ilike(city, "a%") | city.like("%-%")
 
 
 def top_hours_categories(

@@ -22,6 +22,11 @@ SETTINGS = {
     "spark.sql.sources.fileCompressionFactor": "5.0",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
+    # VARIANT columns are stored with their common members apart, and a scan reads the asked ones.
+    "spark.sql.variant.writeShredding.enabled": "true",
+    "spark.sql.variant.inferShreddingSchema": "true",
+    "spark.sql.variant.allowReadingShredded": "true",
+    "spark.sql.variant.pushVariantIntoScan": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 

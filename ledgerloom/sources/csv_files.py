@@ -53,6 +53,73 @@ def conform(
     return rows.withColumns(columns) if columns else rows
 
 
+def judged_lines(
+    spark: SparkSession,
+    directory: str,
+    schema: T.StructType,
+    options: Mapping[str, str] | None = None,
+    json_columns: Iterable[str] = (),
+    max_lengths: Mapping[str, int] | None = None,
+) -> DataFrame:
+    """Every line below ``directory`` as a row of ``schema``, JSON as VARIANT, with what speaks against it.
+
+    ``refusal`` holds file, line and reason of a line that is malformed, holds text that is not JSON
+    in a JSON column, or too long a text, and is NULL for a good line. ``refused`` says which it is.
+    The columns of a refused line are NULL. Blank lines are none, as for the reader.
+    """
+    clash = {"refused", "refusal"} & {name.lower() for name in schema.fieldNames()}
+    if clash:
+        raise ValueError(f"columns named like the verdict on a line: {sorted(clash)}")
+    form = {**CSV_FORMAT, **(options or {}), "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "refusal"}
+    if form["multiLine"] != "false" or form["header"] != "false":
+        raise ValueError("lines can be told apart only where each is one row, without a header")
+    split = {name: form[name] for name in ("lineSep",) if name in form}
+    lines = (
+        spark.read.options(recursiveFileLookup="true", **split)
+        .text(directory)
+        .filter(F.trim("value") != "")
+        .select("value", F.col("_metadata.file_path").alias("file"))
+    )
+    fields = T.StructType([*schema.fields, T.StructField("refusal", T.StringType())])
+    row = F.from_csv("value", fields.toDDL(), form)
+    reasons = [(F.col("row.refusal").isNotNull(), "malformed")]
+    columns = {name: F.col("row")[name] for name in schema.fieldNames()}
+    for name, length in (max_lengths or {}).items():
+        reasons.append((F.char_length(columns[name]) > length, f"{name} exceeds {length} characters"))
+    for name in json_columns:
+        text, columns[name] = columns[name], variants.parse(columns[name])
+        reasons.append((text.isNotNull() & columns[name].isNull(), f"{name} is not JSON"))
+    reason = F.coalesce(*[F.when(wrong, F.lit(said)) for wrong, said in reasons])
+    verdict = lines.withColumn("row", row).withColumn("reason", reason)
+    good = F.col("reason").isNull()
+    return verdict.select(
+        *[F.when(good, value).alias(name) for name, value in columns.items()],
+        F.when(~good, F.struct("file", F.col("value").alias("line"), "reason")).alias("refusal"),
+        (~good).alias("refused"),
+    )
+
+
+def load_csv_or_refuse(
+    spark: SparkSession,
+    directory: str,
+    schema: T.StructType,
+    target: str,
+    options: Mapping[str, str] | None = None,
+    json_columns: Iterable[str] = (),
+    max_lengths: Mapping[str, int] | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Load the good lines of a directory, and keep the others with their reasons instead of failing.
+
+    One write stores both, in two folders of the new table at ``target``: what is loaded and what is
+    refused together are all lines that this write has read. Returns the loaded rows and the refused
+    ``file, line, reason``.
+    """
+    judged = judged_lines(spark, directory, schema, options, json_columns, max_lengths)
+    stored = tables.write_new(judged, target, ["refused"])
+    loaded = stored.filter(~F.col("refused")).drop("refusal", "refused")
+    return loaded, stored.filter("refused").select("refusal.*")
+
+
 def load_csv(
     spark: SparkSession,
     directory: str,

@@ -27,6 +27,7 @@ def load_arrivals(
     max_lengths: Mapping[str, int] | None = None,
     files_per_batch: int = 10_000,
     max_file_age: str = "36500d",
+    archive: str | None = None,
 ) -> DataFrame:
     """Load the files that arrived since the last call into ``target``; return that table.
 
@@ -36,14 +37,17 @@ def load_arrivals(
     rows then take its column types. Without any file the result is that table, or an empty one.
 
     A file counts as new however old it is, for which the driver keeps the names of all loaded
-    files. Where loaded files are moved away, ``max_file_age`` (below the age at which they go)
-    bounds that list.
+    files. With an ``archive``, a folder outside ``directory``, the next batch or call moves files
+    there that are loaded; ``max_file_age`` then bounds that list. A moved file that comes back is
+    not loaded again: it is in the list, or too old for it.
     """
+    cleaned = {"cleanSource": "archive", "sourceArchiveDir": archive} if archive else {}
     rows = (
         spark.readStream.options(**{**CSV_FORMAT, **(options or {})})
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", files_per_batch)
         .option("maxFileAge", max_file_age)
+        .options(**cleaned)
         .schema(schema)
         .csv(directory)
     )

@@ -184,6 +184,7 @@ ORACLES = {
         WHERE p_retailprice > 950 AND p_name ILIKE '%RING%'
         ORDER BY price DESC NULLS FIRST, item
     """,
+    "ilike_prefix": "SELECT c_custkey FROM customer WHERE c_mktsegment ILIKE 'bUi%'",
     "variant_extract": """
         SELECT event_id, TRY_CAST(props ->> '$.k' AS BIGINT) AS k,
                TRY_CAST(props ->> '$.missing' AS BIGINT) AS missing
@@ -231,6 +232,26 @@ ORACLES = {
                count(*) FILTER (ts < cutoff) AS removed
         FROM events, (SELECT max(ts) - INTERVAL 10 DAY AS cutoff FROM events)
     """,
+    "footer_row_counts": """
+        SELECT 'customer' AS table_name, count(*) AS row_count FROM customer
+        UNION ALL SELECT 'orders', count(*) FROM orders
+        UNION ALL SELECT 'lineitem', count(*) FROM lineitem
+        UNION ALL SELECT 'events', count(*) FROM events
+    """,
+    "csv_load_refused": """
+        SELECT verdict, count(*) AS lines,
+               CAST(sum(CASE WHEN verdict = 'loaded' THEN o_orderkey END) AS BIGINT) AS sum_k
+        FROM (SELECT o_orderkey, CASE
+                  WHEN o_orderkey % 5 = 0 OR o_orderkey % 11 = 0 THEN 'malformed'
+                  WHEN length(o_orderpriority) > 10 THEN 'priority exceeds 10 characters'
+                  WHEN o_orderkey % 7 = 0 THEN 'held is not JSON'
+                  ELSE 'loaded' END AS verdict
+              FROM orders)
+        GROUP BY verdict
+    """,
+    "variant_stored_field": """
+        SELECT event_id, TRY_CAST(props ->> '$.k' AS BIGINT) AS k FROM events
+    """,
     "clone_append_counts": """
         SELECT 'orders_clone' AS table_name, 2 * count(*) AS row_count FROM orders
         UNION ALL
@@ -320,6 +341,25 @@ ORACLES = {
         JOIN part ON l_partkey = p_partkey
         LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) ON o_custkey = c_custkey
     """,
+    "catalog_orders_view": """
+        SELECT 'orders_v' AS view, CAST(o_orderdate AS DATE) AS date, count(*) AS rows,
+               count(c_custkey) AS of_members,
+               CAST(sum(CAST(l_extendedprice AS DECIMAL(38,4))) AS VARCHAR) AS price,
+               'Order Detail View' AS comment
+        FROM lineitem
+        JOIN orders ON l_orderkey = o_orderkey
+        JOIN supplier ON o_custkey % 100 + 1 = s_suppkey
+        JOIN nation f ON s_nationkey = f.n_nationkey
+        JOIN nation p ON o_orderkey % 30 = p.n_nationkey
+        JOIN part ON l_partkey = p_partkey
+        LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) ON o_custkey = c_custkey
+        GROUP BY 2
+        UNION ALL
+        SELECT 'customer_loyalty_metrics_v', NULL, count(DISTINCT c_custkey), count(DISTINCT c_custkey),
+               CAST(sum(CAST(o_totalprice AS DECIMAL(38,4))) AS VARCHAR),
+               'Customer Loyalty Member Metrics View'
+        FROM customer JOIN orders ON c_custkey = o_custkey WHERE c_acctbal > 0
+    """,
     "sql_prices_above": """
         SELECT p_name AS item, CAST(CAST(p_retailprice AS DECIMAL(38,4)) AS VARCHAR) AS price
         FROM part WHERE CAST(p_retailprice AS DECIMAL(38,4)) > 995

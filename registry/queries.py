@@ -9,15 +9,16 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Callable
+from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ledgerloom.functions import aggregates, scalars, variants
 from ledgerloom.functions.ordering import ascending
 from ledgerloom.operators import changes, history, joins, ranking, retention
 from ledgerloom.operators.rollup import roll_up
 from ledgerloom.operators.stored_log import StoredLog
-from ledgerloom.plans import menu, orders, rental, sql_api, trucks
+from ledgerloom.plans import catalog_views, menu, orders, rental, sql_api, trucks
 from ledgerloom.session import scratch_path
 from ledgerloom.sources import csv_files, tables
 from ledgerloom.streaming.csv_arrivals import load_arrivals
@@ -106,7 +107,7 @@ def rank_category_hours(spark: SparkSession, folder: str) -> DataFrame:
         .join(customers, F.col("o_custkey") == F.col("c_custkey"))
         .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(regions, F.col("n_regionkey") == F.col("r_regionkey"))
-        .filter(F.col("r_name").ilike("a%") | F.col("o_orderpriority").like("%-H%"))
+        .filter(scalars.ilike(F.col("r_name"), "a%") | F.col("o_orderpriority").like("%-H%"))
         .select("o_orderkey", "o_orderdate", F.col("n_name").alias("city"))
     )
     parts = read(spark, folder, "part").select("p_partkey", F.col("p_type").alias("category"))
@@ -395,10 +396,15 @@ def table_fn_below_exact(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def table_fn_ilike(spark: SparkSession, folder: str) -> DataFrame:
     return menu.prices_above(part_prices(spark, folder), 950.0).filter(
-        F.col("item").ilike("%RING%")
+        scalars.ilike(F.col("item"), "%RING%")
     )
 
 
+@query
+def ilike_prefix(spark: SparkSession, folder: str) -> DataFrame:
+    return read(spark, folder, "customer").filter(scalars.ilike(F.col("c_mktsegment"), "bUi%")).select("c_custkey")
+
+
 # --- semi-structured columns --------------------------------------------------------------------
 
 
@@ -417,6 +423,13 @@ def variant_extract(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def variant_stored_field(spark: SparkSession, folder: str) -> DataFrame:
+    """One member of a stored VARIANT; the scan reads that member alone."""
+    stored = tables.write_new(event_objects(spark, folder), scratch_path(spark, "variants"))
+    return stored.select("event_id", variants.field_as(F.col("props"), "k", "bigint").alias("k"))
+
+
 @query
 def variant_type(spark: SparkSession, folder: str) -> DataFrame:
     held = F.col("props")
@@ -469,6 +482,28 @@ def csv_load(spark: SparkSession, folder: str) -> DataFrame:
     return csv_files.load_csv(spark, directory, source.schema, scratch_path(spark, "loaded"))
 
 
+@query
+def csv_load_refused(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as CSV lines, some of them spoiled: the loaded ones, and the refused ones by reason."""
+    key = F.col("o_orderkey")
+    held = F.when(key % 7 == 0, "{broken").otherwise(F.concat(F.lit('{""k"": '), key.cast("string"), F.lit("}")))
+    line = F.concat(
+        F.when(key % 5 == 0, "x").otherwise(""), key.cast("string"), F.lit(","), "o_orderpriority",
+        F.lit(',"'), held, F.lit('"'), F.when(key % 11 == 0, ",more").otherwise(""),
+    )
+    directory = scratch_path(spark, "csv")
+    read(spark, folder, "orders").select(line.alias("line")).write.text(directory)
+    schema = T.StructType().add("id", T.LongType()).add("priority", T.StringType()).add("held", T.StringType())
+    loaded, refused = csv_files.load_csv_or_refuse(
+        spark, directory, schema, scratch_path(spark, "judged"), None, ["held"], {"priority": 10}
+    )
+    good = loaded.select(F.lit("loaded").alias("verdict"), variants.field_as(F.col("held"), "k", "bigint").alias("k"))
+    bad = refused.select(F.col("reason").alias("verdict"), F.lit(None).cast("bigint").alias("k"))
+    return good.unionByName(bad).groupBy("verdict").agg(
+        F.count("*").alias("lines"), F.sum("k").alias("sum_k")
+    )
+
+
 @query
 def csv_load_incremental(spark: SparkSession, folder: str) -> DataFrame:
     source = read(spark, folder, "customer")
@@ -552,6 +587,12 @@ def clone_append_counts(spark: SparkSession, folder: str) -> DataFrame:
     return tables.row_counts({"orders_clone": clone, "orders": source})
 
 
+@query
+def footer_row_counts(spark: SparkSession, folder: str) -> DataFrame:
+    names = ("customer", "orders", "lineitem", "events")
+    return tables.stored_row_counts(spark, {name: f"{folder}/{name}.parquet" for name in names})
+
+
 def event_log(spark: SparkSession, folder: str) -> DataFrame:
     """Events as the history of a table with one row per user; an error removes the user."""
     return read(spark, folder, "events").select(
@@ -773,6 +814,33 @@ def sql_orders_view(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def catalog_orders_view(spark: SparkSession, folder: str) -> DataFrame:
+    """The views as the catalog keeps them, over stored raw tables, with what it says of them."""
+    label = f"run_{uuid4().hex}"
+    zones = catalog_views.Zones(*(f"{label}_{zone}" for zone in ("raw", "harmonized", "analytics")))
+    stored = {name: scratch_path(spark, name) for name in order_system(spark, folder)}
+    for name, rows in order_system(spark, folder).items():
+        tables.write_new(rows, stored[name])
+    catalog_views.create_order_views(spark, stored, zones)
+    lines = spark.table(f"{zones.analytics}.orders_v").select(
+        F.lit("orders_v").alias("view"), "date", F.col("customer_id").alias("member"), "price"
+    )
+    members = spark.table(f"{zones.analytics}.customer_loyalty_metrics_v").select(
+        F.lit("customer_loyalty_metrics_v").alias("view"), F.lit(None).cast("date").alias("date"),
+        F.col("customer_id").alias("member"), F.col("total_sales").alias("price"),
+    )
+    said = F.create_map(*(
+        F.lit(text)
+        for name in ("orders_v", "customer_loyalty_metrics_v")
+        for text in (name, catalog_views.view_comment(spark, f"{zones.analytics}.{name}"))
+    ))
+    return lines.unionByName(members).groupBy("view", "date").agg(
+        F.count("*").alias("rows"), F.count("member").alias("of_members"),
+        F.sum("price").cast("string").alias("price"),
+    ).withColumn("comment", said[F.col("view")])
+
+
 @query
 def sql_prices_above(spark: SparkSession, folder: str) -> DataFrame:
     sql_api.register_orders(spark, order_system(spark, folder))

@@ -1,0 +1,131 @@
+"""Catalog views with comments, refused CSV lines, counts from footers, ILIKE prefixes, archived files."""
+
+import os
+import time
+
+import pytest
+from pyspark.sql import functions as F, types as T
+
+from ledgerloom.functions import scalars, variants
+from ledgerloom.plans import catalog_views, orders
+from ledgerloom.sources import csv_files, tables
+from ledgerloom.streaming.csv_arrivals import load_arrivals
+from registry.queries import order_system
+from tests.util import physical_plan, rows
+
+FOLDER = "/root/testdata/sf0.001"
+TWO = T.StructType().add("n", T.IntegerType()).add("t", T.StringType())
+
+
+def write(directory, name, text):
+    os.makedirs(directory, exist_ok=True)
+    with open(os.path.join(directory, name), "w") as file:
+        file.write(text)
+
+
+def test_catalog_views_equal_the_frames(spark, new_path):
+    raw = order_system(spark, FOLDER)
+    stored = {name: new_path(name) for name in raw}
+    for name, frame in raw.items():
+        tables.write_new(frame, stored[name])
+    zones = catalog_views.Zones("t_raw", "t_harm", "t_ana")
+    said = {"orders_v": "the owner's \\ view"}
+    catalog_views.create_order_views(spark, stored, zones, said)
+    catalog_views.create_order_views(spark, stored, zones, said)  # again: replaced
+    assert catalog_views.view_comment(spark, "t_ana.orders_v") == "the owner's \\ view"
+    assert catalog_views.view_comment(spark, "t_ana.customer_loyalty_metrics_v").endswith("Metrics View")
+    assert catalog_views.view_comment(spark, "t_harm.orders_v") is None
+    frame, view = orders.order_lines_dated(raw), spark.table("t_ana.orders_v")
+    assert view.columns == frame.columns and view.count() > 0
+    assert view.exceptAll(frame).count() == 0 == frame.exceptAll(view).count()
+    places = F.sort_array("visited_location_ids_array").alias("visited_location_ids_array")
+    ours = orders.loyalty_metrics(raw)
+    names = [places if name.startswith("visited") else F.col(name) for name in ours.columns]
+    held = spark.table("t_ana.customer_loyalty_metrics_v")
+    assert held.columns == ours.columns
+    assert sorted(rows(held.select(*names))) == sorted(rows(ours.select(*names)))
+
+
+def test_loaded_and_refused_are_all_lines(spark, new_path):
+    good, bad = '1,"a,b"\n', 'x,y\n2,a,b\n3\n4,"{oops"\n5,toolong\n'
+    write(new_path("in"), "a.csv", good + "\n" + bad)
+    write(new_path("in/deeper"), "b.csv", '6,"{""k"": 1}"\n7,\n8,null\n')
+    write(new_path("long"), "a.csv", "5,toolong\n6,short\n,\n")
+    loaded, refused = csv_files.load_csv_or_refuse(
+        spark, new_path("in"), TWO, new_path("out"), None, ["t"]
+    )
+    got = rows(loaded.select("n", variants.field_as(F.col("t"), "k", "int"), F.col("t").isNull()))
+    assert sorted(got, key=str) == [(6, 1, False), (7, None, True), (8, None, False)]
+    assert sorted(rows(refused.select("line", "reason"))) == [
+        ('1,"a,b"', "t is not JSON"), ("2,a,b", "malformed"), ("3", "malformed"),
+        ('4,"{oops"', "t is not JSON"), ("5,toolong", "t is not JSON"), ("x,y", "malformed"),
+    ]
+    assert {os.path.basename(row.file) for row in refused.collect()} == {"a.csv"}
+    loaded, refused = csv_files.load_csv_or_refuse(
+        spark, new_path("long"), TWO, new_path("l"), None, (), {"t": 5}
+    )
+    assert sorted(rows(loaded), key=str) == [(6, "short"), (None, None)]
+    assert rows(refused.select("line", "reason")) == [("5,toolong", "t exceeds 5 characters")]
+
+
+def test_good_lines_load_as_without_refusals(spark, new_path):
+    write(new_path("in"), "a.csv", '1,x\n2,\n3,\\N\n,"a,b"\n5,""\n6,"say ""hi"""\n')
+    plain = csv_files.load_csv(spark, new_path("in"), TWO, new_path("a"))
+    loaded, refused = csv_files.load_csv_or_refuse(spark, new_path("in"), TWO, new_path("b"))
+    assert sorted(rows(loaded), key=str) == sorted(rows(plain), key=str)
+    assert refused.count() == 0
+    with pytest.raises(ValueError, match="refused"):
+        csv_files.judged_lines(spark, new_path("in"), T.StructType().add("Refused", "string"))
+
+
+def test_counts_come_from_footers(spark, new_path):
+    table = spark.range(100).withColumn("nothing", F.lit(None).cast("int"))
+    tables.write_new(table, new_path("t"))
+    tables.append(table, new_path("t"))
+    tables.append(table.limit(0), new_path("t"))
+    tables.write_new(table.limit(0), new_path("none"))
+    got = tables.stored_row_counts(spark, {"t": new_path("t"), "none": new_path("none")})
+    assert sorted(rows(got)) == [("none", 0), ("t", 200)]
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
+
+
+@pytest.mark.parametrize("pattern", ["a%", "K%", "i%", "İ%", "å_%", "ω%", "ß%", "Σ%", "%a", "_a%", "", "\\%a%", "abc"])
+def test_ilike_equals_the_exact_test(spark, pattern):
+    texts = ["a", "A", "K", "kelvin", "Kilo", "İstanbul", "i", "I", "Åre", "Åre", "åx", "Ω", "Ωm", "ω",
+             "ß", "ẞa", "SS", "Σίσυφος", "σ", "ς", "%a", "ba", "", None, "ABC", "aBc"]
+    frame = spark.createDataFrame([(text,) for text in texts], "t STRING")
+    ours = frame.select("t", scalars.ilike(F.col("t"), pattern))
+    assert rows(ours) == rows(frame.select("t", F.col("t").ilike(pattern)))
+
+
+def test_stored_variant_reads_like_the_plain_one(spark, new_path):
+    texts = ['{"a": 1, "b": {"c": "x"}}', '{"a": "one"}', '{"a": 1.5, "A": 2}', "[1, 2]", "null", '{"a": null}', None, "7"]
+    frame = spark.createDataFrame([(i, text) for i, text in enumerate(texts)], "i INT, t STRING")
+    frame = frame.select("i", variants.parse(F.col("t")).alias("v"))
+    held = F.col("v")
+    asked = ["i", variants.field_as(held, "a", "int").alias("n"), variants.field_as(held, "a", "string").alias("s"),
+             F.to_json(variants.field(held, "b")).alias("b"), variants.type_name(held).alias("kind"),
+             F.to_json(held).alias("whole")]
+    stored = tables.write_new(frame, new_path("v"))
+    assert sorted(rows(stored.select(*asked))) == sorted(rows(frame.select(*asked)))
+
+
+def test_archived_files_stay_loaded_once(spark, new_path):
+    source, archive = new_path("in"), new_path("a/r/c/h")
+
+    def load():
+        args = (spark, source, TWO, new_path("out"), new_path("log"))
+        return sorted(rows(load_arrivals(*args, archive=archive, max_file_age="1h")))
+
+    for number in range(4):
+        write(source, f"{number}.csv", f"{number},x\n")
+        assert load() == [(n, "x") for n in range(number + 1)]
+    deadline = time.time() + 20
+    moved = lambda: [name for _, _, files in os.walk(archive) for name in files if name.endswith(".csv")]
+    while not moved() and time.time() < deadline:
+        time.sleep(0.2)
+    assert "0.csv" in moved() and not os.path.exists(os.path.join(source, "0.csv"))
+    write(source, "0.csv", "0,x\n")
+    old = time.time() - 7200
+    os.utime(os.path.join(source, "0.csv"), (old, old))
+    assert load() == [(n, "x") for n in range(4)]

@@ -10,7 +10,7 @@ WRITES = {
     "csv_load", "csv_load_incremental", "insert_values", "ctas_variant", "clone_append_counts",
     "clone_asof", "retention_job", "update_log", "delete_log",
     "load_then_append", "update_key_log", "update_rounded", "table_fn_above_exact",
-    "table_fn_below_exact", "asof_stored_log", "prune_stored_log",
+    "table_fn_below_exact", "csv_load_refused", "variant_stored_field", "catalog_orders_view", "asof_stored_log", "prune_stored_log",
 }
 
 
@@ -34,6 +34,14 @@ def test_filters_and_columns_reach_the_scan(plan):
     assert "LessThan(p_retailprice,905.0)" in plan("table_fn_below")
 
 
+def test_stored_variant_is_read_by_member(plan):
+    assert "ReadSchema: struct<event_id:bigint,props:struct<0:bigint>>" in plan("variant_stored_field")
+
+
+def test_ilike_prefix_reaches_the_scan(plan):
+    assert "Or(StringStartsWith(" in plan("ilike_prefix")
+
+
 def test_orders_are_thinned_before_the_lines_join(plan):
     shape = plan("rank_category_hours")
     assert "WindowGroupLimit" in shape
