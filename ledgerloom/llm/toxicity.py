@@ -1,12 +1,16 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
-A lexical transducer turns words into symbols: insult, threat, target, negation, report. Insults are
-roots that labelled documents teach, so they hold for any language and inflection, but for words
-that the same documents show to be benign; the other words are listed. Four transducers then read a clause's symbols one after another: negation and reported
-speech mark what they govern, insult and threat patterns join with targets, and the last one puts
-out matched patterns. Weights are log-odds and add up along a match: the root's and the pattern's,
-each from its share of toxic documents among the labelled ones, starting from a prior. A document's
-score is the chance that at least one of its matches is toxic.
+A lexicon turns the words of a clause into symbols: insult, threat, target, negation, report. Insults
+are roots that labelled documents teach, so they hold for any language and inflection, but for words
+that the same documents show to be benign. The other classes start from lists, and the labelled
+documents add negations and reports: words before a root where documents with that root are clean.
+
+Transducers are tables of weighted arcs. One marks what a report governs, one what a negation reaches,
+one insults after a target; ``composed`` makes one machine of the three, which reads a clause from the
+left. A fourth reads its output from the right, joins insults and threats with targets that follow, and
+so ends the match. Weights are log-odds and add up along a match: the root's and those of the arcs, each
+from the share of toxic documents among the labelled ones that take the arc, starting from a prior. A
+document's score is the chance that at least one of its matches is toxic. Reading is linear in the text.
 
 Roots are learned on at most about ``TRAIN_ROWS`` labelled rows of each label, picked by a hash.
 Scoring reads every text whole.
@@ -20,7 +24,7 @@ from __future__ import annotations
 import heapq
 import re
 from collections import defaultdict
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
 from math import exp, log
 
 import ahocorasick
@@ -59,29 +63,113 @@ PRIORS = {
     "reported": 0.15,
 }
 PRIOR_DOCUMENTS = 4
+# A word before a root in so many labelled documents, of which few are toxic, negates or reports it.
+CONTEXT_DOCUMENTS, CONTEXT_SHARE = 5, 0.3
 _WORD = re.compile(r"[^\W\d_]+")
 _CLAUSE_END = re.compile(r"[.!?;\n]")
 
+# Symbols: I insult, K threat, T target, N negation, R report, O other word; then J insult with a target,
+# V threat with a target, n negated, r reported.
+SYMBOLS = "IKTNROJVnr"
+PATTERNS = {"I": "insult", "J": "targeted insult", "V": "threat", "n": "negated", "r": "reported"}
+
+
+def _log_odds(share: float) -> float:
+    return log(share / (1 - share))
+
+
+class Transducer:
+    """Weighted arcs ``(state, symbol): (output, weight, next state)``, one for each state and symbol."""
+
+    def __init__(self, start, arcs: dict):
+        self.start, self.arcs = start, arcs
+
+    def read(self, symbols: Iterable[str]) -> list[tuple[str, float]]:
+        state, out = self.start, []
+        for symbol in symbols:
+            written, weight, state = self.arcs[state, symbol]
+            out.append((written, weight))
+        return out
+
+
+def composed(first: Transducer, second: Transducer) -> Transducer:
+    """The one machine that reads like ``first`` and, on its output, ``second``; weights add up."""
+    start = (first.start, second.start)
+    arcs, seen, left = {}, {start}, [start]
+    while left:
+        state = left.pop()
+        for symbol in SYMBOLS:
+            between, weight, one = first.arcs[state[0], symbol]
+            written, more, two = second.arcs[state[1], between]
+            arcs[state, symbol] = (written, weight + more, (one, two))
+            if (one, two) not in seen:
+                seen.add((one, two))
+                left.append((one, two))
+    return Transducer(start, arcs)
+
+
+def after_report(weight: float) -> Transducer:
+    """After a report, insults and threats of the clause are somebody else's."""
+    arcs = {}
+    for symbol in SYMBOLS:
+        arcs["own", symbol] = (symbol, 0.0, "report" if symbol == "R" else "own")
+        arcs["report", symbol] = ("r", weight, "report") if symbol in "IK" else (symbol, 0.0, "report")
+    return Transducer("own", arcs)
+
+
+def within_reach(opening: str, rewritten: dict[str, tuple[str, float]], beyond: dict | None = None) -> Transducer:
+    """States count down from ``opening``: the next ``REACH`` symbols are rewritten, others as ``beyond``."""
+    arcs = {}
+    for left in range(REACH + 1):
+        for symbol in SYMBOLS:
+            table = rewritten if left else beyond or {}
+            written, weight = table.get(symbol, (symbol, 0.0))
+            arcs[left, symbol] = (written, weight, REACH if symbol == opening else max(0, left - 1))
+    return Transducer(0, arcs)
+
 
 class Grammar:
-    """The lexical automaton of learned roots and the weights of the patterns."""
+    """The lexicon of learned roots and listed words, and the machines weighted by the patterns' shares."""
 
     def __init__(
         self,
         roots: dict[str, float],
         benign: Iterable[str] = (),
         shares: dict[str, float] | None = None,
+        learned: dict[str, str] | None = None,
     ):
         self.roots = dict(sorted(roots.items()))
         self.benign = frozenset(benign)
         self.shares = dict(PRIORS if shares is None else shares)
-        self.symbols = {}
+        self.symbols = dict(learned or {})
         for symbol, listed in (("N", NEGATIONS), ("R", REPORTS), ("T", TARGETS), ("K", THREATS)):
             self.symbols.update(dict.fromkeys(listed, symbol))
-        self._automaton = None
+        self._automaton = self._machines = None
+
+    def machines(self) -> tuple[Transducer, Transducer]:
+        """The composed machine that reads from the left, and the one that reads its output from the right."""
+        if self._machines is None:
+            odds = {name: _log_odds(share) for name, share in self.shares.items()}
+            # A root's own weight holds that of an insult already.
+            base = _log_odds(PRIORS["insult"])
+            target = odds["targeted insult"] - base
+            left = composed(
+                composed(
+                    after_report(odds["reported"] - base),
+                    within_reach("N", dict.fromkeys("IK", ("n", odds["negated"] - base))),
+                ),
+                within_reach("T", {"I": ("J", target)}),
+            )
+            right = within_reach(
+                "T",
+                {"I": ("J", target), "K": ("V", odds["threat"])},
+                {"I": ("I", odds["insult"] - base), "K": ("O", 0.0)},
+            )
+            self._machines = left, right
+        return self._machines
 
     def __getstate__(self):
-        return self.__dict__ | {"_automaton": None}
+        return self.__dict__ | {"_automaton": None, "_machines": None}
 
     def _seeds(self):
         if self._automaton is None:
@@ -115,67 +203,61 @@ class Grammar:
             for i, word in enumerate(words)
         ]
 
-    @staticmethod
-    def reported(symbols: list[str]) -> list[str]:
-        """Two states: after a report, insults and threats are somebody else's (``r``)."""
-        state, out = "own", []
-        for symbol in symbols:
-            if symbol == "R":
-                state = "report"
-            out.append("r" if state == "report" and symbol in "IK" else symbol)
-        return out
-
-    @staticmethod
-    def negated(symbols: list[str]) -> list[str]:
-        """Counting states: a negation reaches over the next ``REACH`` symbols (``n``)."""
-        left, out = 0, []
-        for symbol in symbols:
-            left = REACH if symbol == "N" else left - 1
-            out.append("n" if left >= 0 and symbol in "IK" and left < REACH else symbol)
-        return out
-
-    @staticmethod
-    def patterns(symbols: list[str]) -> dict[int, str]:
-        """Matched patterns of a clause by position; a target counts up to ``REACH`` symbols away."""
-        targets = [i for i, symbol in enumerate(symbols) if symbol == "T"]
-        out = {}
-        for i, symbol in enumerate(symbols):
-            near = any(abs(i - t) <= REACH for t in targets)
-            if symbol == "I":
-                out[i] = "targeted insult" if near else "insult"
-            elif symbol == "K" and any(0 < t - i <= REACH for t in targets):
-                out[i] = "threat"
-            elif symbol == "n":
-                out[i] = "negated"
-            elif symbol == "r":
-                out[i] = "reported"
-        return out
+    def patterns(self, symbols: list[str]) -> dict[int, tuple[str, float]]:
+        """Matched patterns of a clause by position, each with the weight of its arcs."""
+        left, right = self.machines()
+        forth = left.read(symbols)
+        back = right.read(symbol for symbol, _ in reversed(forth))
+        return {
+            i: (PATTERNS[symbol], weight + forth[i][1])
+            for i, (symbol, weight) in enumerate(reversed(back))
+            if symbol in PATTERNS
+        }
+
+    def clauses(self, text: str) -> Iterator[tuple[list[str], dict[int, float]]]:
+        """Words of each clause that holds an insult or a threat, with their weights by position."""
+        hits = sorted(self.hits(text).items())
+        done = 0
+        while done < len(hits):
+            at = hits[done][0]
+            begin = max(text.rfind(mark, 0, at) for mark in ".!?;\n") + 1
+            stop = _CLAUSE_END.search(text, at)
+            end = stop.start() if stop else len(text)
+            weights = {}
+            while done < len(hits) and hits[done][0] < end:
+                weights[hits[done][0]] = hits[done][1]
+                done += 1
+            words = list(_WORD.finditer(text, begin, end))
+            yield (
+                [word.group() for word in words],
+                {i: weights[word.start()] for i, word in enumerate(words) if word.start() in weights},
+            )
 
     def matches(self, text: str | None) -> list[tuple[str, float]]:
-        """Patterns of all clauses that hold an insult or a threat, each with its root's weight."""
-        text = (text or "").lower()
-        hits = self.hits(text)
-        clauses = defaultdict(set)
-        for at in hits:
-            begin = max((text.rfind(mark, 0, at) for mark in ".!?;\n"), default=-1) + 1
-            clauses[begin].add(at)
+        """Patterns of all clauses that hold an insult or a threat, each with its log-odds."""
         found = []
-        for begin, places in clauses.items():
-            stop = _CLAUSE_END.search(text, max(places))
-            words = list(_WORD.finditer(text, begin, stop.start() if stop else len(text)))
-            insults = {i for i, word in enumerate(words) if word.start() in places}
-            symbols = self.lexical([word.group() for word in words], insults)
-            for i, pattern in self.patterns(self.negated(self.reported(symbols))).items():
-                found.append((pattern, hits.get(words[i].start(), 0.0)))
+        for words, insults in self.clauses((text or "").lower()):
+            for i, (pattern, weight) in self.patterns(self.lexical(words, set(insults))).items():
+                found.append((pattern, weight + insults.get(i, 0.0)))
+        return found
+
+    def context(self, text: str | None) -> set[tuple[str, str]]:
+        """Words of no class before the insults of each clause: ``N`` within reach, ``R`` anywhere."""
+        found = set()
+        for words, insults in self.clauses((text or "").lower()):
+            symbols = self.lexical(words, set(insults))
+            places = [i for i, symbol in enumerate(symbols) if symbol == "I"]
+            if places:
+                found.update(("R", word) for word, symbol in zip(words[: places[-1]], symbols) if symbol == "O")
+            for i in places:
+                near = range(max(0, i - REACH), i)
+                found.update(("N", words[j]) for j in near if symbols[j] == "O")
         return found
 
     def score(self, text: str | None) -> float:
         clean = 1 - NO_MATCH
-        for pattern, weight in self.matches(text):
-            odds = weight + log(self.shares[pattern] / (1 - self.shares[pattern]))
-            if pattern != "threat":
-                odds -= log(PRIORS["insult"] / (1 - PRIORS["insult"]))
-            clean *= 1 / (1 + exp(odds))
+        for _, odds in self.matches(text):
+            clean *= 1 / (1 + exp(min(odds, 700.0)))
         return 1 - clean
 
 
@@ -282,28 +364,41 @@ def learn(sample: DataFrame) -> Grammar:
     for size in ROOT_SIZES:
         rooted |= F.substring("word", 1, size).isin([r for r in stems if len(r) == size])
     known = [row.word for row in benign.filter(rooted).collect()] if stems else []
-    grammar = Grammar(smooth, known)
+    bare = Grammar(smooth, known)
+    few = (F.col("docs") >= CONTEXT_DOCUMENTS) & (F.col("toxic") <= CONTEXT_SHARE * F.col("docs"))
+    context = _taught(sample, bare.context, "symbol string, word string").filter(few).collect()
+    # What reaches a root from nearby is a negation, also if it stands farther off elsewhere.
+    learned = {row.word: row.symbol for row in sorted(context, key=lambda row: row.symbol, reverse=True)}
+    grammar = Grammar(smooth, known, None, learned)
+    counts = _taught(sample, lambda text: {(m[0],) for m in grammar.matches(text)}, "pattern string")
+    shares = dict(PRIORS)
+    for row in counts.collect():
+        prior = PRIORS[row.pattern] * PRIOR_DOCUMENTS
+        shares[row.pattern] = (row.toxic + prior) / (row.docs + PRIOR_DOCUMENTS)
+    return Grammar(smooth, known, shares, learned)
+
+
+def _taught(sample: DataFrame, found: Callable[[str | None], set[tuple]], columns: str) -> DataFrame:
+    """What ``found`` sees in texts, with the number of toxic documents and of all that have it."""
+    names = [column.split()[0] for column in columns.split(", ")]
 
-    def patterns(batches):
+    def rows(batches):
         for batch in pieces(batches):
             toxic = batch.column(1).to_pylist()
-            found = [(p, t) for text, t in zip(texts_of(batch), toxic) for p in {m[0] for m in grammar.matches(text)}]
-            if found:
+            seen = [(*one, t) for text, t in zip(texts_of(batch), toxic) for one in found(text)]
+            if seen:
+                *parts, marks = (list(part) for part in zip(*seen))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([f[0] for f in found]), pa.array([f[1] for f in found], pa.int32())],
-                    ["pattern", "toxic"],
+                    [*(pa.array(part, pa.string()) for part in parts), pa.array(marks, pa.int32())],
+                    [*names, "toxic"],
                 )
 
-    counts = (
+    return (
         sample.select("text", F.col("toxic").cast("int").alias("toxic"))
-        .mapInArrow(patterns, "pattern string, toxic int")
-        .groupBy("pattern")
+        .mapInArrow(rows, f"{columns}, toxic int")
+        .groupBy(*names)
         .agg(F.sum("toxic").alias("toxic"), F.count("*").alias("docs"))
     )
-    for row in counts.collect():
-        prior = PRIORS[row.pattern] * PRIOR_DOCUMENTS
-        grammar.shares[row.pattern] = (row.toxic + prior) / (row.docs + PRIOR_DOCUMENTS)
-    return grammar
 
 
 def scored(docs: DataFrame, grammar: Grammar, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -1,6 +1,9 @@
 """Language identification, toxicity and the masked model: held-out results and odd rows."""
 
+import itertools
+import math
 import random
+import time
 import zlib
 
 import numpy as np
@@ -82,6 +85,73 @@ def test_grammar_scores_clauses():
         assert score[clean] == pytest.approx(toxicity.NO_MATCH)
 
 
+def test_composition_equals_one_after_another():
+    report = toxicity.after_report(-3.0)
+    negation = toxicity.within_reach("N", dict.fromkeys("IK", ("n", -2.0)))
+    target = toxicity.within_reach("T", {"I": ("J", 1.5)})
+    one = toxicity.composed(toxicity.composed(report, negation), target)
+    for size in range(6):
+        for symbols in itertools.product("IKTNRO", repeat=size):
+            first = report.read(symbols)
+            second = negation.read(s for s, _ in first)
+            third = target.read(s for s, _ in second)
+            chained = [(c[0], a[1] + b[1] + c[1]) for a, b, c in zip(first, second, third)]
+            assert one.read(symbols) == chained
+
+
+def test_patterns_equal_their_definition():
+    grammar = toxicity.Grammar({}, (), {"insult": 0.7, "targeted insult": 0.9, "threat": 0.8, "negated": 0.2, "reported": 0.3})
+    rng = random.Random(5)
+    odds = {name: math.log(share / (1 - share)) for name, share in grammar.shares.items()}
+    base = math.log(toxicity.PRIORS["insult"] / (1 - toxicity.PRIORS["insult"]))
+    for _ in range(3000):
+        symbols = rng.choices("IKTNRO", [3, 2, 2, 1, 1, 4], k=rng.randrange(14))
+        expected = {}
+        for i, symbol in enumerate(symbols):
+            if symbol not in "IK":
+                continue
+            after = "T" in symbols[i + 1 : i + 1 + toxicity.REACH]
+            near = after or "T" in symbols[max(0, i - toxicity.REACH) : i]
+            if "R" in symbols[:i]:
+                expected[i] = "reported"
+            elif "N" in symbols[max(0, i - toxicity.REACH) : i]:
+                expected[i] = "negated"
+            elif symbol == "I":
+                expected[i] = "targeted insult" if near else "insult"
+            elif after:
+                expected[i] = "threat"
+        got = grammar.patterns(symbols)
+        assert {i: pattern for i, (pattern, _) in got.items()} == expected
+        for pattern, weight in got.values():
+            once = odds[pattern] - (0 if pattern == "threat" else base)
+            assert weight == pytest.approx(once)
+
+
+def test_long_clauses_are_read_in_linear_time():
+    grammar = toxicity.Grammar({"idiot": 0.95})
+    start = time.perf_counter()
+    assert len(grammar.matches("you idiot there " * 70_000)) == 70_000
+    assert time.perf_counter() - start < 10
+
+
+def test_negations_and_reports_are_learned(spark):
+    rng = random.Random(4)
+    rows = []
+    for i in range(600):
+        filler = ["w" + "".join(rng.choices("abcdefgh", k=4)) for _ in range(8)]
+        if i % 5 == 0:
+            filler.insert(4, "blargen")
+        elif i % 40 == 1:
+            filler[3:4] = ["zonk", "blargen"]
+        elif i % 40 == 2:
+            filler = ["murmelte", *filler, "blargen"]
+        rows.append((" ".join(filler), int(i % 5 == 0)))
+    grammar = toxicity.learn(spark.createDataFrame(rows, "text STRING, toxic INT"))
+    assert grammar.symbols["zonk"] == "N" and grammar.symbols["murmelte"] == "R"
+    assert grammar.score("some zonk blargen") < 0.7 < grammar.score("some blargen")
+    assert grammar.score("murmelte a b c d e f blargen") < 0.7
+
+
 def test_roots_are_learned_with_exceptions(spark):
     rng = random.Random(3)
     rows = []
