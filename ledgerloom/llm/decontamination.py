@@ -10,7 +10,7 @@ with all documents in one pass without a shuffle.
 
 Defined results: tokens are folded to lower case and end at blanks and ASCII punctuation. A null or
 blank text matches nothing, nor does an item of fewer tokens than ``min_match``. Repeated rows are
-compared one by one, items without an id like others. Extra columns are not looked at.
+compared one by one, very long and repetitive texts in memory linear in them but for a logarithm, items without an id like others. Extra columns are not looked at.
 """
 
 from __future__ import annotations
@@ -28,6 +28,8 @@ from ledgerloom.llm.wordhash import BLANK_OR_MARK, Words, mixed, pieces, texts_o
 MIN_MATCH, COVERAGE = 5, 0.5
 BLOCK_BYTES = 8 << 20
 FILTER_BITS = 20
+# Seeds a window, beyond which tiles are found by length instead of seed by seed; both give the same.
+DENSE = 8
 _U = np.uint64
 _BASE = _U(0xC6A4A7935BD1E995)
 
@@ -82,6 +84,72 @@ def tiles(seeds: list[tuple[int, int]], size: int) -> list[tuple[int, int, int]]
     return found
 
 
+def _names(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Numbers that are equal where both parts are."""
+    _, name = np.unique(first, return_inverse=True)
+    _, other = np.unique(second, return_inverse=True)
+    return np.unique(name.astype(np.int64) * (int(other.max(initial=0)) + 1) + other, return_inverse=True)[1]
+
+
+def tiles_by_length(text: np.ndarray, item: np.ndarray, size: int) -> list[tuple[int, int, int]]:
+    """The tiles of ``tiles``, from the tokens themselves, in memory that is linear in them but for a log.
+
+    For texts that repeat themselves, whose seeds are as many as the product of their lengths. Windows
+    of doubled lengths get names; the longest length at which free windows of both sides share a name
+    is found by halving, and all tiles of that length are marked, the earliest first.
+    """
+    n, both = len(text), np.concatenate([text, item])
+    levels = [np.unique(both, return_inverse=True)[1]]
+    while 2 << (len(levels) - 1) <= min(n, len(item)):
+        half = 1 << (len(levels) - 1)
+        levels.append(_names(levels[-1][:-half], levels[-1][half:]))
+    free = np.ones(len(both), dtype=bool)
+    found, most = [], min(n, len(item))
+
+    def open_windows(length):
+        """Names of all windows of the length, and the starts of the free ones in the text and the item."""
+        level = length.bit_length() - 1
+        names = levels[level]
+        if length != 1 << level:
+            stop = len(both) - length + 1
+            shift = length - (1 << level)
+            names = _names(names[:stop], names[shift : shift + stop])
+        used = np.concatenate([[0], np.cumsum(~free)])
+        starts = np.flatnonzero(used[length:] == used[:-length])
+        cut = np.searchsorted(starts, [n - length + 1, n])
+        return names, starts[: cut[0]], starts[cut[1] :]
+
+    def shared(length):
+        names, here, there = open_windows(length)
+        return bool(np.isin(names[here], names[there]).any())
+
+    while most >= size:
+        low, high = size - 1, most
+        while low < high:
+            middle = (low + high + 1) // 2
+            low, high = (middle, high) if shared(middle) else (low, middle - 1)
+        if low < size:
+            break
+        names, here, there = open_windows(low)
+        places = defaultdict(list)
+        for at in there[::-1].tolist():
+            places[int(names[at])].append(at)
+        here = here[np.isin(names[here], names[there])]
+        done = -1
+        for at, name in zip(here.tolist(), names[here].tolist()):
+            if at < done:
+                continue
+            held = places[name]
+            while held and not (free[held[-1]] and free[held[-1] + low - 1]):
+                held.pop()
+            if held:
+                to, done = held.pop(), at + low
+                free[at:done] = free[to : to + low] = False
+                found.append((at, to - n, low))
+        most = low - 1
+    return found
+
+
 class _Block:
     """Some benchmark items: the windows of all, sorted by hash, and where each is."""
 
@@ -95,10 +163,16 @@ class _Block:
             items.append(np.full(len(windows), i))
             places.append(np.arange(len(windows)))
         flat = np.concatenate(hashes) if hashes else np.empty(0, dtype=_U)
+        # Items come one after another, so equal hashes stand in the order of items and places.
         order = np.argsort(flat, kind="stable")
-        self.hashes = flat[order]
-        self.items = np.concatenate(items)[order] if items else order
+        self.tokens, self.first = words.hashes, words.first
         self.places = np.concatenate(places)[order] if places else order
+        hashes, items = flat[order], np.concatenate(items)[order] if items else order
+        # A group is the windows of one hash in one item.
+        new = np.ones(len(hashes), dtype=bool)
+        new[1:] = (hashes[1:] != hashes[:-1]) | (items[1:] != items[:-1])
+        self.begins = np.append(np.flatnonzero(new), len(hashes))
+        self.hashes, self.items = hashes[new], items[new]
         self.filter = np.zeros(1 << FILTER_BITS, dtype=bool)
         self.filter[self.hashes >> _U(64 - FILTER_BITS)] = True
 
@@ -112,19 +186,39 @@ class _Block:
         text = np.searchsorted(words.first, at, "right") - 1
         # A window may not run over the end of its text.
         real = (high > low) & (at + size <= words.first[text + 1])
+        at, text, low, high = at[real], text[real], low[real], high[real]
+        # Windows of one hash in one text meet the groups of that hash; positions pair off only later.
+        order = np.lexsort((at, low, text))
+        at, text, low, high = at[order], text[order], low[order], high[order]
+        new = np.ones(len(at), dtype=bool)
+        new[1:] = (text[1:] != text[:-1]) | (low[1:] != low[:-1])
+        begins = np.append(np.flatnonzero(new), len(at))
         pairs = defaultdict(list)
-        for place, i, a, b in zip(at[real].tolist(), text[real].tolist(), low[real].tolist(), high[real].tolist()):
-            for k in range(a, b):
-                pairs[i, int(self.items[k])].append((place, int(self.places[k])))
-        for (i, item), seeds in sorted(pairs.items()):
+        for mine, (i, a, b) in enumerate(zip(text[new].tolist(), low[new].tolist(), high[new].tolist())):
+            for group in range(a, b):
+                pairs[i, int(self.items[group])].append((mine, group))
+        for (i, item), met in sorted(pairs.items()):
             need = coverage * self.lengths[item] - 1e-9
-            if len({p + s for _, p in seeds for s in range(size)}) < need:
+            here = [at[begins[mine] : begins[mine + 1]] for mine, _ in met]
+            there = [self.places[self.begins[group] : self.begins[group + 1]] for _, group in met]
+            reached = np.zeros(self.lengths[item], dtype=bool)
+            for places in there:
+                for step in range(size):
+                    reached[places + step] = True
+            if reached.sum() < need:
                 continue
-            found = tiles(seeds, size)
+            seeds = sum(len(a) * len(b) for a, b in zip(here, there))
+            first = int(words.first[i])
+            if seeds <= DENSE * sum(len(a) + len(b) for a, b in zip(here, there)):
+                found = tiles(
+                    [(a - first, b) for x, y in zip(here, there) for a in x.tolist() for b in y.tolist()], size
+                )
+            else:
+                whole = words.hashes[first : words.first[i + 1]]
+                found = tiles_by_length(whole, self.tokens[self.first[item] : self.first[item + 1]], size)
             share = sum(length for _, _, length in found) / float(self.lengths[item])
             if share >= coverage - 1e-9:
-                first = int(words.first[i])
-                yield i, item, share, [(a - first, p, n) for a, p, n in found]
+                yield i, item, share, found
 
 
 def _blocks(benchmark: DataFrame, item_col: str, text_col: str, size: int):
