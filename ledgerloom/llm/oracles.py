@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ledgerloom.llm.mixing import MOST_REPEATS, SHARE, WEIGHTS
-from ledgerloom.llm.quality_rules import RULES, STOP_WORDS
+from ledgerloom.llm.quality_rules import RULES, STOP_WORD_LANGUAGES, STOP_WORDS
 from ledgerloom.llm.sharding import MULTIPLIER, ROWS_PER_SLICE
 
 _BLANK = r"[\x20\x09-\x0D]"
@@ -23,7 +23,8 @@ def _bounds() -> str:
     for rule in RULES:
         value = _SQL_MEASURES[rule.measure]
         if rule.low is not None:
-            parts.append(f"{value} >= {rule.low}")
+            spared = " OR NOT speaks" if rule.measure == "stop_word_ratio" else ""
+            parts.append(f"({value} >= {rule.low}{spared})")
         if rule.high is not None:
             parts.append(f"{value} <= {rule.high}")
     return " AND ".join(parts)
@@ -31,9 +32,13 @@ def _bounds() -> str:
 
 _STOP = ", ".join(f"'{word}'" for word in STOP_WORDS)
 
+_LISTED = ", ".join(f"'{lang}'" for lang in STOP_WORD_LANGUAGES)
+
 OP1 = f"""
 WITH docs AS (
-    SELECT row_number() OVER () AS n, doc_id, coalesce(text, '') AS t FROM documents
+    SELECT row_number() OVER () AS n, doc_id, coalesce(text, '') AS t,
+           lower(split_part(replace(trim(lang), '_', '-'), '-', 1)) AS lang
+    FROM documents
 ),
 split AS (
     SELECT *, list_filter(string_split_regex(t, '{_BLANK}+'), lambda w: w <> '') AS words,
@@ -62,11 +67,16 @@ measured AS (
            coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
            len(list_filter(string_split_regex(lower(t), '[\\x20\\x09-\\x0D.,;:!?]+'),
                            lambda w: w IN ({_STOP}))) AS n_stop_words,
-           length(t) - length(regexp_replace(t, '\\p{{Lu}}', '', 'g')) AS n_upper
+           length(t) - length(regexp_replace(t, '\\p{{Lu}}', '', 'g')) AS n_upper,
+           length(t) - length(regexp_replace(t, '[^\\P{{L}}\\p{{Latin}}]', '', 'g')) AS n_other_letters,
+           lang
     FROM split LEFT JOIN repeated USING (n)
 ),
 judged AS (
-    SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM measured
+    SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+           CASE WHEN coalesce(lang, '') IN ('', 'und') THEN 2 * n_other_letters < word_chars
+                ELSE lang IN ({_LISTED}) END AS speaks
+    FROM measured
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND {_bounds()} AS kept

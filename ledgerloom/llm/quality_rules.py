@@ -4,8 +4,9 @@
 measure as a column of native expressions; ``kept`` turns the table into one boolean expression.
 
 Defined results: a null or blank text has no word and is rejected; repeated rows are measured one
-by one. The bound on stop words does not bind for a language that the list does not hold; without a
-language it binds. Other columns are not looked at, and their names may be anything.
+by one. The bound on stop words binds only where the list can speak: for a text labelled with one of its
+languages, and for one without a label unless at least half of its visible characters are letters of
+another script than Latin, which all languages of the list share. Other columns are not looked at, and their names may be anything.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 BLANK = r"[\x20\x09-\x0D]"
 SYMBOL = "[#*$%&|<>]"
 WORD_END = r"[\x20\x09-\x0D.,;:!?]+"
+# A letter that is not Latin.
+OTHER_LETTER = r"[^\P{L}\p{IsLatin}]"
 WINDOW = 3
 
 # Frequent function words of English, German, French, Spanish, Italian and Portuguese.
@@ -77,7 +80,7 @@ def measured(
 
     Windows of three words are compared by their 64-bit hashes within one text.
     """
-    speaks = F.lit(True) if lang_col is None else listed(F.col(lang_col))
+    speaks = F.lit(None).cast("boolean") if lang_col is None else listed(F.col(lang_col))
     text = docs.select(
         F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("t"), speaks.alias("listed")
     )
@@ -100,6 +103,7 @@ def measured(
         .cast("long")
         .alias("n_stop_words"),
         F.regexp_count("t", F.lit(r"\p{Lu}")).cast("long").alias("n_upper"),
+        F.regexp_count("t", F.lit(OTHER_LETTER)).cast("long").alias("n_other_letters"),
         F.transform(
             F.slice("words", F.lit(1), F.greatest(F.size("words") - (WINDOW - 1), F.lit(0))),
             lambda w, i: F.xxhash64(w, F.get("words", i + 1), F.get("words", i + 2)),
@@ -148,6 +152,7 @@ def measured(
         "n_repeat_words",
         "n_stop_words",
         "n_upper",
+        "n_other_letters",
         *([] if lang_col is None else ["listed"]),
     )
 
@@ -158,9 +163,9 @@ def base_failed() -> Column:
 
 
 def listed(lang: Column) -> Column:
-    """Whether the stop words can speak of a text: not if it is known to be in another language."""
+    """Whether the label names a language of the stop words; NULL where there is no label."""
     main = F.lower(F.substring_index(F.regexp_replace(F.trim(lang), "_", "-"), "-", 1))
-    return F.coalesce(main.isin(*STOP_WORD_LANGUAGES, "", "und"), F.lit(True))
+    return F.when(~main.isin("", "und"), main.isin(*STOP_WORD_LANGUAGES))
 
 
 def compiled(rules: Iterable[Rule] = RULES, speaks: Column | None = None) -> Column:
@@ -190,7 +195,10 @@ def quality(
     # The partition number is never negative. It keeps a later filter from being moved below the
     # measures, where every array would be built anew at each place that names it.
     fence = F.spark_partition_id() >= 0
-    speaks = None if lang_col is None else F.col("listed")
+    # Without a label the script decides: in another than Latin the words of the list cannot occur.
+    speaks = 2 * F.col("n_other_letters") < F.col("word_chars")
+    if lang_col is not None:
+        speaks = F.coalesce("listed", speaks)
     return (
         measured(docs, id_col, text_col, lang_col)
         .withColumn("base_failed", base_failed())
