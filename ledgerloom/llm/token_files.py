@@ -44,8 +44,14 @@ def _serialized(ids: list[int]) -> bytes:
 
 _END = _serialized([END])
 _BLANKS = "\\t\\n\\x0b\\x0c\\r "
-# A stretch is a run of blanks and what follows up to the next one.
-_STRETCH = re.compile(f"[{_BLANKS}]*[^{_BLANKS}]+|[{_BLANKS}]+")
+# A stretch is a run of blanks and what follows up to the next one, cut once more where a letter or
+# digit meets an ASCII mark other than the apostrophe: tokens of letters or digits end there, and words
+# are then known without the marks behind them.
+_MARKS = "!-&(-/:-@\\[-`{-~"
+_STRETCH = re.compile(
+    f"[{_BLANKS}]*[^{_BLANKS}{_MARKS}]*[A-Za-z0-9\xc0-\xd6\xd8-\xf6\xf8-\xff](?=[{_MARKS}])"
+    f"|[{_BLANKS}]*[^{_BLANKS}]+|[{_BLANKS}]+"
+)
 # Blanks beyond ASCII may run together with ASCII ones into one token; such texts are cut only
 # before blanks that follow an ASCII character.
 _WIDE_BLANK = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
@@ -66,6 +72,28 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        # A byte-level token is written with one character for each of its bytes.
+        self.sizes = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=np.int64)
+        for token, number in vocabulary.items():
+            self.sizes[number] = len(token)
+
+    def _learn(self, new: list[str]) -> None:
+        """Encode new stretches: those that begin with an ASCII blank and end with none as one text."""
+        joined = [s for s in new if s[0] in "\t\n\x0b\x0c\r " and not s[-1].isspace()]
+        if joined:
+            [encoding] = self.tokenizer.encode_batch_fast(["".join(joined)], add_special_tokens=False)
+            numbers = np.array(encoding.ids, dtype="<u4")
+            ends = np.cumsum([len(s.encode()) for s in joined])
+            reached = np.cumsum(self.sizes[numbers])
+            cuts = np.searchsorted(reached, ends)
+            if len(reached) and reached[-1] == ends[-1] and np.array_equal(reached[cuts], ends):
+                content, bounds = numbers.tobytes(), (4 * (cuts + 1)).tolist()
+                self.known.update(zip(joined, (content[a:b] for a, b in zip([0, *bounds], bounds))))
+        # The others, and all if the vocabulary is not written in bytes, one by one.
+        alone = [s for s in new if s not in self.known]
+        encodings = self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)
+        self.known.update(zip(alone, (_serialized(e.ids) for e in encodings)))
 
     def serialized(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text, ended by ``END``, as little-endian unsigned 32-bit numbers."""
@@ -75,9 +103,7 @@ class Encoder:
         ]
         if len(self.known) > KNOWN_SEGMENTS:
             self.known = {}
-        new = list(set().union(*parts).difference(self.known))
-        encodings = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        self.known.update(zip(new, (_serialized(e.ids) for e in encodings)))
+        self._learn(list(set().union(*parts).difference(self.known)))
         ids = self.known.__getitem__
         return [b"".join([*map(ids, stretches), _END]) for stretches in parts]
 

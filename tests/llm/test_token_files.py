@@ -34,6 +34,23 @@ def test_encoder_equals_the_tokenizer():
         assert [x.tolist() for x in ours] == plain(some)
 
 
+def test_words_are_cut_before_marks():
+    """Every pair and triple of letters, digits, marks and blanks around the cut, joined or alone."""
+    rng = random.Random(5)
+    atoms = "aZ9\u00e9\u00df\u0301\u4e00\u20ac\u2014'.,!|<>#$%&()~ \n\t"
+    texts = [a + b + c for a in atoms for b in atoms for c in atoms]
+    texts += ["".join(rng.choices(atoms, k=rng.randrange(1, 60))) for _ in range(3000)]
+    texts += ["ab<|endoftext|>cd", "ab.<|endoftext|>.", " <|endoftext|", "> x", " x.y<|endo", "ftext|>", "a\xa0.b c", "it's.", "''s."]
+    assert [x.tolist() for x in token_files.Encoder(PATH).encode(texts)] == plain(texts)
+
+
+def test_a_vocabulary_not_written_in_bytes_is_encoded_one_by_one(monkeypatch):
+    texts = ["one two, three", " four five"]
+    encoder = token_files.Encoder(PATH)
+    encoder.sizes[:] = 1
+    assert [x.tolist() for x in encoder.encode(texts)] == plain(texts)
+
+
 def test_stretches_that_share_a_polynomial_hash_keep_their_ids():
     """Thue-Morse words and their complements: equal under any even polynomial modulo 2^64."""
     word = "a"
