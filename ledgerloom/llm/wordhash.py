@@ -113,14 +113,16 @@ class Words:
         return self.data[self.starts[low] : self.ends[high - 1]].tobytes()
 
 
-def pieces(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of about ``PIECE_BYTES`` of text; a longer text stands alone."""
+def pieces(
+    batches: Iterator[pa.RecordBatch], column: str = "text", size: int | None = None
+) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``size`` (``PIECE_BYTES``) of text; a longer text stands alone."""
     for batch in batches:
         if not batch.num_rows:
             continue
         texts = batch.column(batch.schema.get_field_index(column))
         sizes = pa.compute.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
-        which = np.cumsum(sizes, dtype=np.int64) // PIECE_BYTES
+        which = np.cumsum(sizes, dtype=np.int64) // (size or PIECE_BYTES)
         cuts = np.concatenate(([0], np.flatnonzero(np.diff(which)) + 1, [batch.num_rows]))
         for low, high in zip(cuts[:-1], cuts[1:]):
             yield batch.slice(low, high - low)

@@ -1,5 +1,6 @@
 """Token files: the same ids as the tokenizer itself, read back from the files."""
 
+import itertools
 import random
 import zlib
 
@@ -41,6 +42,15 @@ def test_words_are_cut_before_marks():
     texts = [a + b + c for a in atoms for b in atoms for c in atoms]
     texts += ["".join(rng.choices(atoms, k=rng.randrange(1, 60))) for _ in range(3000)]
     texts += ["ab<|endoftext|>cd", "ab.<|endoftext|>.", " <|endoftext|", "> x", " x.y<|endo", "ftext|>", "a\xa0.b c", "it's.", "''s."]
+    texts += ["a <|endoftext|> b", "a x<|endoftext|>", "a\n<|endoftext|>", "a  <|endoftext|>", "a <|endoftext b|>", "a \u00e9!?"]
+    assert [x.tolist() for x in token_files.Encoder(PATH).encode(texts)] == plain(texts)
+
+
+def test_runs_of_blanks():
+    """Every text of up to seven letters, spaces and line ends, and random ones with all kinds of blanks."""
+    texts = ["".join(t) for n in range(8) for t in itertools.product("a \n", repeat=n)]
+    rng = random.Random(7)
+    texts += ["".join(rng.choices("ab.  \n\n\t\r\x1c\xa0\u00e9", k=rng.randrange(1, 40))) for _ in range(3000)]
     assert [x.tolist() for x in token_files.Encoder(PATH).encode(texts)] == plain(texts)
 
 
