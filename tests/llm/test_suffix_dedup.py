@@ -3,8 +3,10 @@
 import hashlib
 import random
 from collections import Counter
+from unittest.mock import MagicMock
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ledgerloom.llm import induced_sort, suffix_dedup
@@ -102,6 +104,63 @@ def test_removed_bytes_are_those_of_plain_counting(spark, monkeypatch, hot):
         assert sorted(map(tuple, found.collect()), key=repr) == plain_removal(rows, reach)
 
 
+def test_groups_decided_by_weight_are_not_sorted(spark, monkeypatch):
+    rng = random.Random(8)
+    text = prose(rng, 200, 5000).encode()
+    strings = [
+        (1, 10, 11, 2, text[:170]),  # alone, two occurrences
+        (2, 20, 21, 1, b"ab" * 100),  # alone, repeats in itself only
+        (3, 30, 31, 3, text[200:400]),  # two with several occurrences each
+        (3, 32, 33, 2, text[220:420]),
+        (4, 40, 41, 2, text[500:660]),  # one of several, one of a single occurrence
+        (4, 42, 43, 1, b"?" + text[500:655] + b"!"),
+        (5, 50, 51, 1, text[700:900]),  # alone, no repeat
+    ]
+    sorted_ = []
+
+    def watched(parts, keys, reach, plain=suffix_dedup._repeated):
+        sorted_.extend(parts)
+        return plain(parts, keys, reach)
+
+    monkeypatch.setattr(suffix_dedup, "_repeated", watched)
+    frame_ = MagicMock()
+    frame_.agg.return_value.first.return_value = (0,)
+    frame_.sparkSession.sparkContext.defaultParallelism = 1
+    dealt = frame_.select.return_value.repartition.return_value.sortWithinPartitions.return_value
+    dealt.mapInArrow.side_effect = lambda sort, schema: sort
+    sort = suffix_dedup._sorted(frame_, 150)
+    columns = [pa.array(column) for column in zip(*strings)]
+    batch = pa.RecordBatch.from_arrays(columns, ["group", "c1", "c2", "weight", "bytes"])
+    # A group goes on in the next batch.
+    found = [tuple(r.values()) for out in sort(iter([batch[:3], batch[3:]])) for r in out.to_pylist()]
+    assert sorted(found) == [
+        (10, 11, 0, 21),
+        (20, 21, 0, 51),
+        (30, 31, 0, 51),
+        (32, 33, 0, 51),
+        (40, 41, 0, 11),
+        (42, 43, 1, 7),
+    ]
+    assert sorted_ == [strings[at][4] for at in (1, 4, 5, 6)]
+
+
+def test_ranges_of_hot_strings_are_as_few_as_those_of_others(spark, monkeypatch):
+    rng = random.Random(9)
+    shared = [prose(rng, 90, 5000) for _ in range(2)]
+    rows = [
+        (at, at, 1, " ".join((prose(rng, 9, 5000), shared[at % 2], prose(rng, 9, 5000))).encode())
+        for at in range(12)
+    ]
+    texts = spark.createDataFrame(rows, "k1 long, k2 long, weight long, bytes binary")
+
+    def windows(hot):
+        monkeypatch.setattr(suffix_dedup, "HOT", hot)
+        return sorted(map(tuple, suffix_dedup._windows(texts, 150, 0, None).collect()))
+
+    few = windows(1024)
+    assert few and windows(1) == few
+
+
 def test_spans_and_kept_bytes_make_up_the_text(spark):
     rows = near_rows()
     texts = Counter((r[0], r[1] or "") for r in rows)
